@@ -1,0 +1 @@
+"""Intentionally empty: the data model has no streams, windows over event time or state."""
