@@ -155,7 +155,7 @@ class MarketLake:
 
     def sql(self, query: str, **args) -> DataFrame:
         """Free SQL over every table, view and table function of ``catalog``; ``:name`` takes args."""
-        catalog.register(self)
+        catalog.register(self, query)
         return self.spark.sql(query, args=args or None)
 
     def sync(

@@ -7,6 +7,7 @@ they hold plans, not data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -95,15 +96,29 @@ FUNCTIONS = {
 }
 
 
-def register(market) -> None:
-    """(Re)creates all names in the session of ``market``; cheap, no job runs."""
-    spark = market.spark
-    for name in DATASETS:
-        market.table(name).createOrReplaceTempView(f"{PREFIX}_{name}")
-    market.ledger().createOrReplaceTempView("meta_partitions")
+def register(market, query: str | None = None) -> None:
+    """(Re)creates the names a query mentions, or all of them; no job runs.
+
+    Only mentioned tables are looked up, so an ad-hoc query lists no other files.
+    """
+    functions = {
+        signature: body
+        for signature, body in FUNCTIONS.items()
+        if query is None or signature.partition("(")[0] in query
+    }
+    text = None if query is None else " ".join([query, *functions.values()])
+    tables: dict[str, Callable[[], DataFrame]] = {
+        f"{PREFIX}_{name}": partial(market.table, name) for name in DATASETS
+    }
+    tables["meta_partitions"] = market.ledger
     if market.lake is not None:
-        market.runs().createOrReplaceTempView("meta_sync_runs")
+        tables["meta_sync_runs"] = market.runs
     for name, build in VIEWS.items():
-        build(market.table).createOrReplaceTempView(name)
-    for signature, body in FUNCTIONS.items():
-        spark.sql(f"create or replace temporary function {signature} returns table return {body}")
+        tables[name] = partial(build, market.table)
+    for name, build in tables.items():
+        if text is None or name in text:
+            build().createOrReplaceTempView(name)
+    for signature, body in functions.items():
+        market.spark.sql(
+            f"create or replace temporary function {signature} returns table return {body}"
+        )
