@@ -85,17 +85,16 @@ class MarketLake:
         self, symbols: Codes = None, *, start: DateLike | None = None, end: DateLike | None = None,
         adjust: str = "none", as_of: DateLike | None = None,
     ) -> DataFrame:
-        bars = self._bars(symbols, start, end, adjust, as_of)
-        first, last = params.date_range(start, end)
-        basic = restrict(self.table("daily_basic"), params.code_list(symbols), first, last)
-        return panels.adjusted_panel(bars, basic).orderBy(*ORDER)
+        metrics = panels.panel_metrics(self.table("daily_basic"))
+        bars = self._bars(symbols, start, end, adjust, as_of, metrics)
+        return panels.adjusted_panel(bars).orderBy(*ORDER)
 
-    def _bars(self, symbols, start, end, adjust, as_of) -> DataFrame:
+    def _bars(self, symbols, start, end, adjust, as_of, aligned=None) -> DataFrame:
         adjust, day = params.adjustment(adjust, as_of)
         codes = params.code_list(symbols)
         first, last = params.date_range(start, end)
         return prices.adjusted_bars(
-            self.table("daily"), self.table("adj_factor"), codes, first, last, adjust, day
+            self.table("daily"), self.table("adj_factor"), codes, first, last, adjust, day, aligned
         )
 
     def index_bars(

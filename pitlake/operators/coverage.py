@@ -24,6 +24,7 @@ WHOLE: dict[str, tuple[str, str] | None] = {
 }
 # Datasets expected on every open day, in report order with the others.
 ON_OPEN_DAYS = ["daily", "adj_factor", "daily_basic", "index_dailybasic", "suspend_d", "stk_limit"]
+DATED = [*ON_OPEN_DAYS, "index_daily"]
 # Datasets compared with the bars row by row; a missing factor makes a dataset incomplete, missing
 # metrics are only reported.
 MATCHED = ["adj_factor", "daily_basic"]
@@ -39,11 +40,12 @@ REPORT = [
     "dataset_id", "status", "expected_days", "available_days", "missing_days",
     "unmatched_daily_rows", "row_count", "first_date", "last_date", "last_committed_at",
 ]
+
+
 def _no_rows() -> Column:
     return F.lit(0).cast("long")
 
 
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -62,43 +64,18 @@ def _whole_table_spans(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _day_rows(name: str, rows: DataFrame, n: Column, unmatched: Column | None = None) -> DataFrame:
+def _day_rows(name: str, rows: DataFrame, n: int = 1, unmatched: int = 0) -> DataFrame:
     return rows.select(
         F.lit(name).alias("dataset"),
         F.col("trade_date").alias("day"),
-        n.cast("long").alias("n"),
-        (F.lit(None).cast("long") if unmatched is None else unmatched).alias("unmatched"),
-    )
-
-
-def presence(daily: DataFrame, adj_factor: DataFrame, daily_basic: DataFrame) -> DataFrame:
-    """Per security-day, how many rows each of the three aligned datasets has.
-
-    One exchange of keys serves the row counts and both anti-join counts.
-    """
-    def tag(rows: DataFrame, name: str) -> DataFrame:
-        marks = [F.lit(int(name == other)).alias(other) for other in ("daily", *MATCHED)]
-        return rows.select(*KEY, *marks)
-
-    tagged = _union(
-        [tag(daily, "daily"), tag(adj_factor, "adj_factor"), tag(daily_basic, "daily_basic")]
+        F.lit(n).alias("n"),
+        F.lit(unmatched).alias("unmatched"),
     )
-    return tagged.groupBy(*KEY).agg(*[F.sum(n).alias(n) for n in ("daily", *MATCHED)])
-
-
-def _aligned_day_rows(daily: DataFrame, adj_factor: DataFrame, daily_basic: DataFrame) -> DataFrame:
-    counts = presence(daily, adj_factor, daily_basic)
 
-    def entry(name: str) -> Column:
-        unmatched = F.lit(None).cast("long")
-        if name in MATCHED:
-            unmatched = F.when(F.col(name) == 0, F.col("daily")).otherwise(_no_rows())
-        return F.struct(
-            F.lit(name).alias("dataset"), F.col("trade_date").alias("day"),
-            F.col(name).alias("n"), unmatched.alias("unmatched"),
-        )
 
-    return counts.select(F.inline(F.array(*[entry(n) for n in ("daily", *MATCHED)])))
+def unmatched_bars(daily: DataFrame, other: DataFrame) -> DataFrame:
+    """Bars without a row of the other dataset; several such searches shuffle the bars once."""
+    return daily.select(*KEY).join(other.select(*KEY), KEY, "left_anti")
 
 
 def _committed_days(ledger: DataFrame, start: date, end: date) -> DataFrame:
@@ -108,7 +85,7 @@ def _committed_days(ledger: DataFrame, start: date, end: date) -> DataFrame:
         F.substring_index("dataset_id", ".", -1).alias("dataset"), day.alias("day")
     )
     return committed.where(within(F.col("day"), start, end)).select(
-        "dataset", "day", _no_rows().alias("n"), F.lit(None).cast("long").alias("unmatched")
+        "dataset", "day", F.lit(0).alias("n"), F.lit(0).alias("unmatched")
     )
 
 
@@ -119,17 +96,17 @@ def _dated_coverage(
     def ranged(name: str) -> DataFrame:
         return tables[name].where(within(F.col("trade_date"), start, end))
 
-    others = ["index_daily", "index_dailybasic", "suspend_d", "stk_limit"]
     rows = _union(
-        [_aligned_day_rows(*[ranged(name) for name in ("daily", *MATCHED)])]
-        + [_day_rows(name, ranged(name), F.lit(1)) for name in others]
+        [_day_rows(name, ranged(name)) for name in DATED]
+        + [_day_rows(n, unmatched_bars(ranged("daily"), ranged(n)), 0, 1) for n in MATCHED]
         + [_committed_days(ledger, start, end)]
     )
-    # After this partial aggregate there is one row per dataset and day.
+    # The partial aggregate leaves one row per task, dataset and day; only the search for unmatched
+    # bars moves rows, by security-day.
     days = rows.groupBy("dataset", "day").agg(
         F.sum("n").alias("n"), F.sum("unmatched").alias("unmatched")
     )
-    # Days that only the matched bars have must not count for the dataset they are missing from.
+    # A day on which bars lack their match is no day of the dataset they are missing from.
     covered = (F.col("n") > 0) | F.col("dataset").isin(EMPTY_DAY_OK)
     flagged = days.join(
         open_days.select(F.col("cal_date").alias("day"), F.lit(True).alias("is_open")), "day", "left"

@@ -17,21 +17,20 @@ def daily_metrics(daily_basic: DataFrame) -> DataFrame:
     return daily_basic.select(*KEY, "close", *METRICS)
 
 
-def with_metrics(bars: DataFrame, daily_basic: DataFrame) -> DataFrame:
-    return bars.join(daily_basic.select(*KEY, *METRICS), KEY, "left")
+def panel_metrics(daily_basic: DataFrame) -> DataFrame:
+    return daily_basic.select(*KEY, *METRICS)
 
 
 def daily_panel(bars: DataFrame, daily_basic: DataFrame) -> DataFrame:
-    panel = with_metrics(bars, daily_basic)
+    panel = bars.join(panel_metrics(daily_basic), KEY, "left")
     return panel.select(*RAW, "adj_factor", *METRICS)
 
 
-def adjusted_panel(bars: DataFrame, daily_basic: DataFrame) -> DataFrame:
-    """Always the same 28 columns; the anchor is NULL unless the bars are forward adjusted."""
+def adjusted_panel(bars: DataFrame) -> DataFrame:
+    """Bars aligned with metrics: always 28 columns, the anchor NULL unless forward adjusted."""
     if "anchor_adj_factor" not in bars.columns:
         bars = bars.withColumn("anchor_adj_factor", F.lit(None).cast("double"))
-    panel = with_metrics(bars, daily_basic)
-    return panel.select(*KEY, *PRICES, *UNADJUSTED, "adj_factor", "anchor_adj_factor", *METRICS)
+    return bars.select(*KEY, *PRICES, *UNADJUSTED, "adj_factor", "anchor_adj_factor", *METRICS)
 
 
 def index_basic(index_basic: DataFrame) -> DataFrame:

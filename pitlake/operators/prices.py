@@ -32,9 +32,13 @@ def latest_adj_factor(adj_factor: DataFrame, as_of: date | None = None) -> DataF
     ).select(*KEY, "adj_factor")
 
 
-def _scaled(bars: DataFrame, factor, *extra: str) -> DataFrame:
+def _scaled(bars: DataFrame, factor) -> DataFrame:
+    """Prices through ``factor``; other columns, such as joined metrics, are kept as they are."""
+    known = [*RAW, "adj_factor", "anchor_adj_factor"]
     prices = [factor(F.col(name)).alias(name) for name in PRICES]
-    return bars.select(*KEY, *prices, *UNADJUSTED, "adj_factor", *extra)
+    anchor = [name for name in bars.columns if name == "anchor_adj_factor"]
+    others = [name for name in bars.columns if name not in known]
+    return bars.select(*KEY, *prices, *UNADJUSTED, "adj_factor", *anchor, *others)
 
 
 def daily_bar_hfq(bars: DataFrame) -> DataFrame:
@@ -42,16 +46,19 @@ def daily_bar_hfq(bars: DataFrame) -> DataFrame:
 
 
 def daily_bar_qfq(bars: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Forward adjustment against one anchor factor per security."""
-    anchored = bars.join(
-        anchors.select("ts_code", F.col("adj_factor").alias("anchor_adj_factor")), "ts_code", "left"
-    )
+    """Forward adjustment against one anchor factor per security.
+
+    The anchors stand on the left so that adaptive execution runs them first: it then knows how
+    small they are before it would shuffle the bars by security, and broadcasts them instead.
+    """
+    by_security = anchors.select("ts_code", F.col("adj_factor").alias("anchor_adj_factor"))
+    anchored = by_security.join(bars, "ts_code", "right")
 
     def forward(price: Column) -> Column:
         divisor = F.nullif(F.col("anchor_adj_factor"), F.lit(0.0))
         return price * F.col("adj_factor") / divisor
 
-    return _scaled(anchored, forward, "anchor_adj_factor")
+    return _scaled(anchored, forward)
 
 
 def daily_bar_qfq_latest(daily: DataFrame, adj_factor: DataFrame) -> DataFrame:
@@ -72,9 +79,13 @@ def adjusted_bars(
     end: date | None = None,
     adjust: str = "none",
     as_of: date | None = None,
+    aligned: DataFrame | None = None,
 ) -> DataFrame:
     """Bars of some codes and days in one adjustment mode, unordered.
 
+    ``aligned`` is joined on security and day before the anchor, so that all joins on that key
+    share one partitioning of the bars.
+
     Codes and days are applied to both inputs before their join. The anchor is the exception: it is
     the last factor of a security's whole history, so only the codes may narrow it.
     """
@@ -83,6 +94,8 @@ def adjusted_bars(
     bars = daily_bar(
         restrict(daily, codes, start, last), restrict(adj_factor, codes, start, last)
     )
+    if aligned is not None:
+        bars = bars.join(restrict(aligned, codes, start, last), KEY, "left")
     if adjust == "hfq":
         return daily_bar_hfq(bars)
     if adjust == "qfq":

@@ -94,7 +94,8 @@ def stock_trade_constraints(
         & (F.col("trade_date") >= F.col("span_start"))
         & (F.col("span_stop").isNull() | (F.col("trade_date") < F.col("span_stop")))
     )
-    return constraints.join(spans, in_span).select(*STOCK_CONSTRAINTS)
+    # The spans come first so that adaptive execution measures them before it moves any fact.
+    return spans.join(constraints, in_span).select(*STOCK_CONSTRAINTS)
 
 
 def stock_trade_constraints_asof(

@@ -11,9 +11,16 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits a hot join key at run time; no join in this package needs a hand-made salt.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Sides are broadcast only when their measured or file size is under this bound.
+    # A side is broadcast only below this bound on its size: estimated from its files before the
+    # run, measured during it. Columnar files of repeated codes and factors are far smaller than
+    # their rows, hence the factor; without it ten million rows can pass for a small table.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "10",
+    # Joins of facts on (security, day) hash the smaller side when every shuffle partition of it was
+    # measured to fit, and sort both sides otherwise.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
