@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.functions.newest import first, newest
@@ -70,50 +70,37 @@ def security_status_asof(
     )
 
 
-def security_timeline(stock_basic: DataFrame, namechange: DataFrame) -> DataFrame:
-    """Each security's listed life cut into disjoint spans with the name in force.
+def name_spans(namechange: DataFrame) -> DataFrame:
+    """Each security's history as disjoint spans [span_start, span_stop) with the name in force.
 
-    The spans tile [list_date, delist_date) without overlap, so a fact row meets exactly one of
-    them: the point-in-time lookup of a whole fact table is one join, with no ranking and no second
-    shuffle of the facts. The work here is on the security master only; a security has at most one
-    name per start day, so a group is bounded by the calendar.
+    A fact row meets at most one span, so a whole fact table is looked up by one join that neither
+    multiplies rows nor ranks and sorts them afterwards. A security's names are held in one row:
+    they are keyed by start day, so there are never more of them than days. Without a join in its
+    derivation, Spark estimates the result by the size of the table and broadcasts it only if that
+    is small; otherwise the facts are shuffled by security.
     """
-    lives = stock_basic.select("ts_code", "symbol", "list_date", "delist_date").where(
-        F.col("list_date").isNotNull()
-        & (F.col("delist_date").isNull() | (F.col("list_date") < F.col("delist_date")))
-    )
     history = _named(name_history(namechange))
-    turns = history.select(
-        "ts_code",
-        F.explode(
-            F.array("name_start_date", F.date_add("name_end_date", 1))
-        ).alias("span_start"),
-    ).where(F.col("span_start").isNotNull())
-    inside = (F.col("span_start") > F.col("list_date")) & (
-        F.col("delist_date").isNull() | (F.col("span_start") < F.col("delist_date"))
-    )
-    starts = (
-        lives.join(turns, "ts_code").where(inside).select("ts_code", "span_start")
-        .unionByName(lives.select("ts_code", F.col("list_date").alias("span_start")))
-        .distinct()
+    order = ["name_start_date", "name_ann_date"]
+    rest = [name for name in history.columns if name not in ("ts_code", *order)]
+    names = history.groupBy("ts_code").agg(
+        F.sort_array(F.collect_list(F.struct(*order, *rest))).alias("names")
     )
-    spans = starts.withColumn(
-        "next_start",
-        F.lead("span_start").over(Window.partitionBy("ts_code").orderBy("span_start")),
+    begins = F.transform("names", lambda name: name["name_start_date"])
+    lapses = F.transform("names", lambda name: F.date_add(name["name_end_date"], 1))
+    turns = F.array_sort(F.array_distinct(F.array_compact(F.concat(begins, lapses))))
+    spans = names.withColumn("turns", turns).select(
+        "ts_code", "names", "turns", F.posexplode("turns").alias("turn", "span_start")
     )
-    names = history.withColumnRenamed("ts_code", "name_code")
-    in_force = (F.col("ts_code") == F.col("name_code")) & valid_on(
-        F.col("name_start_date"), F.col("name_end_date"), F.col("span_start")
-    )
-    named = newest(
-        spans.join(names, in_force, "left").drop("name_code"),
-        ["ts_code", "span_start", "next_start"],
-        ["name_start_date", "name_ann_date"],
-    )
-    return with_names(named.join(lives, "ts_code")).select(
-        "ts_code", "symbol", *NAME_COLUMNS, "list_date", "delist_date", "span_start",
-        F.coalesce("next_start", "delist_date").alias("span_stop"),
+    in_force = F.filter(
+        "names",
+        lambda name: valid_on(name["name_start_date"], name["name_end_date"], F.col("span_start")),
     )
+    return spans.select(
+        "ts_code",
+        "span_start",
+        F.get("turns", F.col("turn") + 1).alias("span_stop"),
+        F.try_element_at(in_force, F.lit(-1)).alias("name"),
+    ).where(F.col("name").isNotNull()).select("ts_code", "span_start", "span_stop", "name.*")
 
 
 def index_members_asof(index_weight: DataFrame, index_code: str, as_of: date) -> DataFrame:

@@ -11,8 +11,8 @@ from pitlake.functions.predicates import listed_on
 from pitlake.operators.prices import KEY
 from pitlake.operators.securities import (
     NAME_COLUMNS,
+    name_spans,
     names_asof,
-    security_timeline,
     with_names,
 )
 
@@ -88,14 +88,21 @@ def stock_trade_constraints(
     constraints: DataFrame, stock_basic: DataFrame, namechange: DataFrame
 ) -> DataFrame:
     """Constraints of stocks while listed, with the name of that day."""
-    spans = security_timeline(stock_basic, namechange).withColumnRenamed("ts_code", "span_code")
-    in_span = (
-        (F.col("ts_code") == F.col("span_code"))
-        & (F.col("trade_date") >= F.col("span_start"))
-        & (F.col("span_stop").isNull() | (F.col("trade_date") < F.col("span_stop")))
+    stocks = stock_basic.select(
+        F.col("ts_code").alias("stock"), "symbol", "list_date", "delist_date"
     )
-    # The spans come first so that adaptive execution measures them before it moves any fact.
-    return spans.join(constraints, in_span).select(*STOCK_CONSTRAINTS)
+    day = F.col("trade_date")
+    listed = (F.col("ts_code") == F.col("stock")) & listed_on(
+        F.col("list_date"), F.col("delist_date"), day
+    )
+    spans = name_spans(namechange).withColumnRenamed("ts_code", "named")
+    in_force = (
+        (F.col("ts_code") == F.col("named"))
+        & (day >= F.col("span_start"))
+        & (F.col("span_stop").isNull() | (day < F.col("span_stop")))
+    )
+    rows = constraints.join(stocks, listed).join(spans, in_force, "left")
+    return with_names(rows).select(*STOCK_CONSTRAINTS)
 
 
 def stock_trade_constraints_asof(

@@ -59,20 +59,27 @@ def test_timeline_equals_search(make):
 
 
 def test_spans_are_disjoint(make):
-    stocks, names, _ = _random_case(random.Random(9))
-    spans = securities.security_timeline(
-        make("stock_basic", [(c, _day(a), _day(b)) for c, a, b in stocks],
-             ["ts_code", "list_date", "delist_date"]),
+    _, names, _ = _random_case(random.Random(9))
+    spans = securities.name_spans(
         make("namechange", [(c, n, _day(a), _day(b), None) for c, n, a, b, _ in names],
              ["ts_code", "name", "start_date", "end_date", "ann_date"]),
     ).collect()
     by_code = {}
     for span in spans:
-        by_code.setdefault(span.ts_code, []).append((span.span_start, span.span_stop))
-    for code, listed, gone in stocks:
-        pieces = sorted(by_code.get(code, []), key=lambda piece: piece[0])
-        if listed is None or (gone is not None and gone <= listed):
-            assert not pieces
-            continue
-        assert pieces[0][0] == _day(listed) and pieces[-1][1] == _day(gone)
-        assert all(a[1] == b[0] for a, b in zip(pieces, pieces[1:]))
+        by_code.setdefault(span.ts_code, []).append((span.span_start, span.span_stop or date.max))
+    for pieces in by_code.values():
+        pieces.sort()
+        assert all(start < stop for start, stop in pieces)
+        assert all(a[1] <= b[0] for a, b in zip(pieces, pieces[1:]))
+
+
+def test_many_names_of_one_security(make, spark):
+    """A third of all names belong to one security, and none of its names ever ends."""
+    names = [("hot", f"n{i}", START + timedelta(days=i), None) for i in range(1500)]
+    names += [(f"c{i}", "x", START, None) for i in range(3000)]
+    spans = securities.name_spans(
+        make("namechange", names, ["ts_code", "name", "start_date", "end_date"])
+    ).where("ts_code = 'hot'")
+    got = {(s.span_start, s.span_stop, s.historical_name) for s in spans.collect()}
+    days = [START + timedelta(days=i) for i in range(1500)] + [None]
+    assert got == {(days[i], days[i + 1], f"n{i}") for i in range(1500)}
