@@ -154,8 +154,9 @@ class MarketLake:
 
     def sql(self, query: str, **args) -> DataFrame:
         """Free SQL over every table, view and table function of ``catalog``; ``:name`` takes args."""
-        catalog.register(self, query)
-        return self.spark.sql(query, args=args or None)
+        text = catalog.flat_names(query)
+        catalog.register(self, text)
+        return self.spark.sql(text, args=args or None)
 
     def sync(
         self, dataset_id: str, *, start: DateLike | None = None, end: DateLike | None = None,

@@ -1,11 +1,12 @@
 """SQL names: every table and view as a temporary view, every as-of query as a table function.
 
-Temporary views have one-part names, so ``market.daily_bar`` is ``market_daily_bar``. All are live:
-they hold plans, not data.
+Temporary views have one-part names, so ``market.daily_bar`` is registered as ``market_daily_bar``;
+queries may use either spelling. All are live: they hold plans, not data.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial
 
@@ -96,6 +97,24 @@ FUNCTIONS = {
 }
 
 
+_NAMES = {
+    *[f"{PREFIX}_{name}" for name in DATASETS], "meta_partitions", "meta_sync_runs", *VIEWS,
+    *[signature.partition("(")[0] for signature in FUNCTIONS],
+}
+# A quoted literal, which is left alone, or a two-part name.
+_TWO_PART = re.compile(r"""'[^']*'|"[^"]*"|\b([A-Za-z]\w*)\.([A-Za-z]\w*)""")
+
+
+def flat_names(query: str) -> str:
+    """The query with known two-part names in their registered form."""
+
+    def flat(found: re.Match) -> str:
+        name = f"{found[1]}_{found[2]}".lower()
+        return name if found[1] and name in _NAMES else found[0]
+
+    return _TWO_PART.sub(flat, query)
+
+
 def register(market, query: str | None = None) -> None:
     """(Re)creates the names a query mentions, or all of them; no job runs.
 

@@ -352,3 +352,17 @@ def test_every_sql_name_resolves(spark, pit):
     catalog.register(pit)
     for name in catalog.VIEWS:
         assert spark.table(name).columns
+
+
+def test_two_part_names(market, pit):
+    assert values(market.sql("SELECT max(b.close) FROM market.daily_bar AS b WHERE b.ts_code = 'A'")) == [
+        (10.0,)
+    ]
+    rows = pit.sql(
+        "select ts_code, 'market.daily_bar' as text from"
+        " market.stock_trade_constraints_asof(date'2024-02-01') order by 1"
+    )
+    assert values(rows) == [("1", "market.daily_bar"), ("2", "market.daily_bar")]
+    assert values(pit.sql("select count(*) from meta.partitions where dataset_id = 'tushare.daily'")) == [
+        (0,)
+    ]
