@@ -58,13 +58,9 @@ def distinct_index_codes(codes: str | Iterable[str] | None, default: tuple[str,
     if codes is None:
         return list(default)
     listed = [codes] if isinstance(codes, str) else list(codes)
-    if not listed:
-        raise ValueError("index_codes must not be empty")
-    return list(dict.fromkeys(index_code(code) or _blank() for code in listed))
-
-
-def _blank() -> str:
-    raise ValueError("index_codes must be non-empty strings")
+    if not listed or None in listed:
+        raise ValueError("index_codes must be non-empty strings")
+    return list(dict.fromkeys(index_code(code) for code in listed))
 
 
 def adjustment(adjust: str, as_of: DateLike | None) -> tuple[str, date | None]:

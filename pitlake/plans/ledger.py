@@ -34,14 +34,17 @@ def pending(plan: DataFrame, ledger: DataFrame) -> DataFrame:
     return plan.join(ledger, PARTITION, "left_anti")
 
 
-def sync_results(plan: DataFrame, ledger_before: DataFrame, verdicts: DataFrame) -> DataFrame:
+def already_done(plan: DataFrame, ledger: DataFrame) -> DataFrame:
+    return plan.join(ledger, PARTITION, "left_semi")
+
+
+def sync_results(skipped: DataFrame, verdicts: DataFrame) -> DataFrame:
     """What became of each planned partition: SKIPPED, SUCCESS or FAILED."""
-    skipped = plan.join(ledger_before, PARTITION, "left_semi").select(
+    good = F.col("error_message").isNull()
+    return skipped.select(
         *PARTITION, F.lit("SKIPPED").alias("status"), F.lit(None).cast("long").alias("row_count"),
         F.lit(None).cast("string").alias("error_message"),
-    )
-    good = F.col("error_message").isNull()
-    return skipped.unionByName(
+    ).unionByName(
         verdicts.select(
             *PARTITION,
             F.when(good, "SUCCESS").otherwise("FAILED").alias("status"),

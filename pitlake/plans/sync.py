@@ -24,7 +24,7 @@ from pitlake.functions.params import (
 )
 from pitlake.operators.checks import BATCH, missing_columns, verdicts
 from pitlake.plans import partitions
-from pitlake.plans.ledger import pending, sync_counts, sync_results
+from pitlake.plans.ledger import already_done, pending, sync_counts, sync_results
 from pitlake.sources.datasets import DATASETS, DEFAULT_INDEX_CODES, Dataset, get_dataset
 from pitlake.sources.lake import Lake
 from pitlake.sources.landing import drop_exact_copies, land_typed
@@ -110,7 +110,7 @@ class Synchronizer:
         batch = uuid.uuid4().hex
         # A run id is a function of batch and partition, so a retried task writes the same one.
         run_id = F.md5(F.concat_ws("|", F.lit(batch), "dataset_id", "partition_id"))
-        skipped = plan.join(done_before, ["dataset_id", "partition_id"], "left_semi")
+        skipped = already_done(plan, done_before)
         started = pending(plan, done_before).withColumn("run_id", run_id)
         started_path = self.lake.path("meta", "started", f"batch={batch}")
         started.write.parquet(started_path)
@@ -119,7 +119,7 @@ class Synchronizer:
         started = self.spark.read.schema(started.schema).parquet(started_path)
         skipped = self.spark.read.schema(skipped.schema).parquet(skipped_path)
         checked = self._run(dataset, started, batch)
-        results = sync_results(skipped, skipped, checked).orderBy("partition_id")
+        results = sync_results(skipped, checked).orderBy("partition_id")
         counts = sync_counts(results).first()
         totals = counts.asDict() if counts else {"dataset_id": dataset.id}
         report = SyncReport(results=results, **totals)

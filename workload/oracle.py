@@ -378,9 +378,10 @@ oracle(
     where partition_id not in (select partition_id from commits
                                where dataset_id = 'tushare.index_daily')""",
 )
-oracle(
-    "update_steps", "trade_cal commits",
-    f""", days as (select 'trade_date=' || strftime(d, '%Y-%m-%d') as p from ({EVENT_DAYS})),
+
+
+def _update_plan(keep: str, step: str) -> str:
+    return f""", days as (select 'trade_date=' || strftime(d, '%Y-%m-%d') as p from ({EVENT_DAYS})),
 open_days as (select 'trade_date=' || strftime(cal_date, '%Y-%m-%d') as p from trade_cal
               where is_open = 1),
 months as (select 'index_code=' || c || '/month=' || strftime(m, '%Y-%m') as p from
@@ -396,11 +397,21 @@ plan as (
     (9, 'daily_basic'), (11, 'index_dailybasic'), (12, 'suspend_d'), (13, 'stk_limit')) v(i, n)
   union all select 10, 'index_daily', p, false from days
   union all select 14, 'index_weight', p, false from months)
-select cast(step as integer) as step, 'tushare.' || name as dataset_id, count(*) as planned,
+select cast({step} as integer) as step, 'tushare.' || name as dataset_id, count(*) as planned,
        count(*) filter (where refreshed or (('tushare.' || name, p) not in
          (select (dataset_id, partition_id) from commits))) as pending,
        min(p) as first_partition, max(p) as last_partition
-from plan group by 1, 2""",
+from plan where {keep} group by 1, 2"""
+
+
+oracle("update_plan", "trade_cal commits", _update_plan("true", "step"))
+oracle(
+    "update_indices_plan", "trade_cal commits",
+    _update_plan(
+        "name in ('index_basic', 'index_classify', 'index_member_all', 'index_daily', "
+        "'index_dailybasic', 'index_weight')",
+        "case when step < 6 then step - 2 when step = 10 then 4 when step = 11 then 5 else 6 end",
+    ),
 )
 
 # Ledger and run log
@@ -459,14 +470,14 @@ from judged""",
 # Landing and checks
 
 oracle(
-    "land_typed_text", "landed",
+    "land_typed", "landed",
     """ select partition_id, ts_code, cast(strptime(trim(trade_date), '%Y%m%d') as date)
       as trade_date, cast(adj_factor as double) as adj_factor
     from landed where adj_factor is null or adj_factor <> 'bad'""",
 )
 _text_date = "strftime({0}, '%Y%m%d') as {0}"
 oracle(
-    "variant_union_stocks", "stock_basic",
+    "variant_union", "stock_basic",
     f""" select list_status as variant, ts_code, symbol, {_text_date.format('list_date')},
       {_text_date.format('delist_date')} from stock_basic""",
 )

@@ -13,7 +13,14 @@ from pitlake import MarketLake
 from pitlake.functions.typing import LANDED_DATE
 from pitlake.operators import checks, pages, panels, prices, securities, tradability
 from pitlake.plans import ledger, partitions, runs
-from pitlake.plans.sync import DATED, MASTERS, Synchronizer, update_plan
+from pitlake.plans.sync import (
+    DATED,
+    INDEX_DATED,
+    INDEX_MASTERS,
+    MASTERS,
+    Synchronizer,
+    update_plan,
+)
 from pitlake.sources.datasets import DATASETS, DEFAULT_INDEX_CODES
 from pitlake.sources.lake import Lake
 from pitlake.sources.landing import (
@@ -39,7 +46,8 @@ SOME_CODES = ["1", "2", "3", "5", "8", "13", "21", "34", "55", "89", "144"]
 
 
 def query(build: Callable[[Derived], DataFrame]) -> Callable[[Derived], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(Derived(spark, sf_dir))
+    # A trailing underscore keeps a name apart from the function it runs.
+    QUERIES[build.__name__.rstrip("_")] = lambda spark, sf_dir: build(Derived(spark, sf_dir))
     return build
 
 
@@ -302,22 +310,29 @@ def plan_pending(t):
     )
 
 
+def _update_steps(t: Derived, masters: list[str], dated: list[str]) -> DataFrame:
+    span, days = _span(t, "events", "ts"), partitions.open_dates(t.dataset("trade_cal"), None, None)
+    build = {
+        "full": lambda name: partitions.full(span, name),
+        "calendar_year": lambda name: partitions.calendar_years(span, name),
+        "calendar_day": lambda name: partitions.calendar_days(span, name),
+        "trading_day": lambda name: partitions.trading_days(days, name),
+        "index_month": lambda name: partitions.index_months(span, name, DEFAULT_INDEX_CODES),
+    }
+    steps = [*masters, *dated]
+    plans = {name: build[DATASETS[name].strategy](DATASETS[name].id) for name in steps}
+    return update_plan(plans, ledger.latest_commits(t["commits"]), steps, set(masters))
+
+
 @query
-def update_steps(t):
+def update_plan_(t):
     """What a full update has to do, step by step."""
-    span, days = _span(t, "events", "ts"), partitions.open_dates(t.dataset("trade_cal"), None, None)
-    plans = {}
-    for name in [*MASTERS, *DATED]:
-        dataset = DATASETS[name]
-        plans[name] = {
-            "full": lambda: partitions.full(span, dataset.id),
-            "calendar_year": lambda: partitions.calendar_years(span, dataset.id),
-            "calendar_day": lambda: partitions.calendar_days(span, dataset.id),
-            "trading_day": lambda: partitions.trading_days(days, dataset.id),
-            "index_month": lambda: partitions.index_months(span, dataset.id, DEFAULT_INDEX_CODES),
-        }[dataset.strategy]()
-    done = ledger.latest_commits(t["commits"])
-    return update_plan(plans, done, [*MASTERS, *DATED], set(MASTERS))
+    return _update_steps(t, MASTERS, DATED)
+
+
+@query
+def update_indices_plan(t):
+    return _update_steps(t, INDEX_MASTERS, INDEX_DATED)
 
 
 # Ledger and run log
@@ -386,14 +401,14 @@ def run_status(t):
 
 
 @query
-def land_typed_text(t):
+def land_typed_(t):
     factors = DATASETS["adj_factor"]
     sound = t["landed"].where(F.coalesce("adj_factor", F.lit("")) != "bad")
     return land_typed(factors, sound, "partition_id")
 
 
 @query
-def variant_union_stocks(t):
+def variant_union_(t):
     landed, dataset = as_text(t, "stock_basic"), DATASETS["stock_basic"]
     frames = {v: landed.where(F.col("list_status") == v) for v in dataset.variants}
     return variant_union(frames).select("variant", "ts_code", "symbol", "list_date", "delist_date")
@@ -503,7 +518,7 @@ def sync_report(t):
     )
     todo = ledger.pending(plan, done)
     found = checks.verdicts(DATASETS["index_daily"], landed, todo)
-    return ledger.sync_counts(ledger.sync_results(plan, done, found))
+    return ledger.sync_counts(ledger.sync_results(ledger.already_done(plan, done), found))
 
 
 @query
