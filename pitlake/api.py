@@ -127,7 +127,8 @@ class MarketLake:
         members = None
         if code is not None:
             members = securities.index_members_asof(self.table("index_weight"), code, day)
-        return securities.universe(status, members, exclude_st, exclude_delisting).orderBy("ts_code")
+        rows = securities.universe(status, members, exclude_st, exclude_delisting)
+        return rows.orderBy("ts_code")
 
     def tradeability(self, as_of: DateLike, *, symbols: Codes = None) -> DataFrame:
         names = ("stk_limit", "suspend_d", "daily", "stock_basic", "namechange")
@@ -153,7 +154,7 @@ class MarketLake:
         return self.lake.runs(F.lit(self._opened_at))
 
     def sql(self, query: str, **args) -> DataFrame:
-        """Free SQL over every table, view and table function of ``catalog``; ``:name`` takes args."""
+        """Free SQL over the tables, views and functions of ``catalog``; ``:name`` takes args."""
         text = catalog.flat_names(query)
         catalog.register(self, text)
         return self.spark.sql(text, args=args or None)

@@ -27,4 +27,6 @@ def _pick(rows, by, picker, order) -> DataFrame:
     payload = [name for name in rows.columns if name not in by]
     best = picker(F.struct(*payload), F.struct(*order)).alias("_best")
     picked = rows.groupBy(*by).agg(best)
-    return picked.select(*[F.col(n) if n in by else F.col("_best")[n].alias(n) for n in rows.columns])
+    return picked.select(
+        *[F.col(name) if name in by else F.col("_best")[name].alias(name) for name in rows.columns]
+    )

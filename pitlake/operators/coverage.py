@@ -56,7 +56,8 @@ def _whole_table_spans(tables: Mapping[str, DataFrame]) -> DataFrame:
         low = high = F.lit(None).cast("date")
         if dates:
             low, high = F.col(dates[0]), F.coalesce(dates[1], dates[0])
-        frames.append(tables[name].select(F.lit(name).alias("dataset"), low.alias("lo"), high.alias("hi")))
+        days = F.lit(name).alias("dataset"), low.alias("lo"), high.alias("hi")
+        frames.append(tables[name].select(*days))
     return _union(frames).groupBy("dataset").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min("lo").alias("first_date"),
@@ -108,9 +109,8 @@ def _dated_coverage(
     )
     # A day on which bars lack their match is no day of the dataset they are missing from.
     covered = (F.col("n") > 0) | F.col("dataset").isin(EMPTY_DAY_OK)
-    flagged = days.join(
-        open_days.select(F.col("cal_date").alias("day"), F.lit(True).alias("is_open")), "day", "left"
-    )
+    calendar = open_days.select(F.col("cal_date").alias("day"), F.lit(True).alias("is_open"))
+    flagged = days.join(calendar, "day", "left")
     counts_here = covered & (F.col("is_open") | (F.col("dataset") == "index_daily"))
     with_data = F.when(F.col("n") > 0, F.col("day"))
     return flagged.groupBy("dataset").agg(
@@ -171,9 +171,8 @@ def health(
             "row_count": F.coalesce("row_count", _no_rows()),
         }
     )
-    missing = F.greatest(
-        F.coalesce("expected_days", _no_rows()) - F.coalesce("available_days", _no_rows()), _no_rows()
-    )
+    lacking = F.coalesce("expected_days", _no_rows()) - F.coalesce("available_days", _no_rows())
+    missing = F.greatest(lacking, _no_rows())
     unmatched_factor = (named == "adj_factor") & (F.col("unmatched_daily_rows") > 0)
     status = (
         F.when(whole & (F.col("row_count") == 0), "EMPTY")

@@ -89,11 +89,8 @@ def adjusted_bars(
     Codes and days are applied to both inputs before their join. The anchor is the exception: it is
     the last factor of a security's whole history, so only the codes may narrow it.
     """
-    last = min(day for day in (end, as_of, date.max) if day is not None)
-    last = None if last == date.max else last
-    bars = daily_bar(
-        restrict(daily, codes, start, last), restrict(adj_factor, codes, start, last)
-    )
+    last = min((day for day in (end, as_of) if day is not None), default=None)
+    bars = daily_bar(restrict(daily, codes, start, last), restrict(adj_factor, codes, start, last))
     if aligned is not None:
         bars = bars.join(restrict(aligned, codes, start, last), KEY, "left")
     if adjust == "hfq":

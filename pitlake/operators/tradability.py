@@ -131,6 +131,6 @@ def stock_trade_constraints_asof(
     listed = cut(stock_basic).where(
         listed_on(F.col("list_date"), F.col("delist_date"), as_of)
     ).select("ts_code", "symbol", "list_date", "delist_date")
-    return with_names(
-        constraints.join(listed, "ts_code").join(names_asof(cut(namechange), as_of), "ts_code", "left")
-    ).select(*STOCK_CONSTRAINTS)
+    names = names_asof(cut(namechange), as_of)
+    rows = constraints.join(listed, "ts_code").join(names, "ts_code", "left")
+    return with_names(rows).select(*STOCK_CONSTRAINTS)

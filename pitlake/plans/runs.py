@@ -52,7 +52,9 @@ def run_status(events: DataFrame, reopened_at: Column) -> DataFrame:
         .alias("status"),
         "request_params", "rows_received", "started_at",
         F.when(done, F.col("success_at")).when(failed, F.col("bad.event_ts")).alias("finished_at"),
-        F.when(failed, F.col("bad.error_type")).when(died, "ProcessInterrupted").alias("error_type"),
+        F.when(failed, F.col("bad.error_type"))
+        .when(died, "ProcessInterrupted")
+        .alias("error_type"),
         F.when(failed, F.substring("bad.error_message", 1, ERROR_TEXT))
         .when(died, "the process ended before this run did")
         .alias("error_message"),

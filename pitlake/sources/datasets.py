@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 # Fixed value: prefix of every dataset id.
 PREFIX = "tushare"
 
-# Index codes whose weights are kept by default, markets an index listing is asked for.
+# Index codes whose weights are kept by default, markets an index list is asked for.
 DEFAULT_INDEX_CODES = ("000300.SH", "000905.SH", "000985.CSI")
 INDEX_MARKETS = ("MSCI", "CSI", "SSE", "SZSE", "CICC", "SW", "OTH")
 # Fixed value: the exchange whose calendar decides what a trading day is.

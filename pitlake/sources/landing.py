@@ -40,7 +40,7 @@ def variant_union(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def drop_exact_copies(dataset: Dataset, landed: DataFrame) -> DataFrame:
-    """Rows equal in every source column, NULLs included, become one; only where that is declared."""
+    """Rows equal in every source column, NULLs included, become one, where that is declared."""
     columns = ["partition_id", *dataset.columns]
     if not dataset.drop_exact_copies:
         return landed.select(*columns)
