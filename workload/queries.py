@@ -29,7 +29,7 @@ from pitlake.sources.landing import (
     land_typed,
     variant_union,
 )
-from workload.derived import Derived
+from workload.derived import Derived, opened
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,7 +47,7 @@ SOME_CODES = ["1", "2", "3", "5", "8", "13", "21", "34", "55", "89", "144"]
 
 def query(build: Callable[[Derived], DataFrame]) -> Callable[[Derived], DataFrame]:
     # A trailing underscore keeps a name apart from the function it runs.
-    QUERIES[build.__name__.rstrip("_")] = lambda spark, sf_dir: build(Derived(spark, sf_dir))
+    QUERIES[build.__name__.rstrip("_")] = lambda spark, sf_dir: build(opened(spark, sf_dir))
     return build
 
 
@@ -68,7 +68,7 @@ def as_text(t: Derived, name: str) -> DataFrame:
 
 
 def scan(name: str) -> Query:
-    return lambda spark, sf_dir: land_typed(DATASETS[name], as_text(Derived(spark, sf_dir), name))
+    return lambda spark, sf_dir: land_typed(DATASETS[name], as_text(opened(spark, sf_dir), name))
 
 
 for _name in DATASETS:
