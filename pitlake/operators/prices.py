@@ -96,5 +96,7 @@ def adjusted_bars(
     if adjust == "hfq":
         return daily_bar_hfq(bars)
     if adjust == "qfq":
-        return daily_bar_qfq(bars, latest_adj_factor(restrict(adj_factor, codes), as_of))
+        anchors = latest_adj_factor(restrict(adj_factor, codes), as_of)
+        # One row per requested code: the caller's list bounds the size.
+        return daily_bar_qfq(bars, anchors if codes is None else F.broadcast(anchors))
     return bars

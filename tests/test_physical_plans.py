@@ -146,3 +146,9 @@ def test_table_function_argument_is_pushed_down(spark, tables):
     dated = [scan for scan in scans(plan_of(rows)) if "trade_date" in scan]
     assert len(dated) >= 4
     assert all("EqualTo(trade_date,2024-01-15)" in scan for scan in dated)
+
+
+def test_anchors_are_broadcast_only_for_listed_codes(shuffled, spark, tables):
+    market = MarketLake(spark, tables=tables)
+    assert "BroadcastHashJoin" in plan_of(market.bars(["a"], adjust="qfq"))
+    assert "BroadcastHashJoin" not in plan_of(market.bars(adjust="qfq"))

@@ -418,3 +418,36 @@ def test_registry():
     assert get_dataset("daily") is get_dataset("tushare.daily")
     with pytest.raises(KeyError):
         get_dataset("other.daily")
+
+
+def test_variants_of_one_request_are_one_partition(spark, landing):
+    dataset = DATASETS["stock_basic"]
+    text = ", ".join(f"`{c}` string" for c in [*dataset.columns, "partition_id", "variant"])
+    rows = [
+        tuple({"ts_code": code, "list_status": kind}.get(c) for c in dataset.columns) + ("full", kind)
+        for code, kind in (("A", "L"), ("B", "D"), ("C", "P"))
+    ]
+    spark.createDataFrame(rows, text).write.partitionBy("partition_id", "variant").parquet(
+        f"{landing.path}/stock_basic"
+    )
+    market = lake(spark, landing)
+    report = market.sync("stock_basic")
+    assert values(report.results, "partition_id status row_count") == [("full", "SUCCESS", 3)]
+    assert values(market.table("stock_basic").orderBy("ts_code"), "ts_code list_status") == [
+        ("A", "L"), ("B", "D"), ("C", "P"),
+    ]
+
+
+def test_dates():
+    from pitlake.functions.params import as_date, date_range, distinct_index_codes, index_code
+
+    assert as_date(datetime(2024, 1, 2, 3)) == as_date("2024-01-02") == as_date(D2) == D2
+    assert date_range(None, "2024-01-02") == (None, D2)
+    assert distinct_index_codes(None, ("x",)) == ["x"]
+    assert distinct_index_codes(" a ", ()) == ["a"]
+    assert index_code(" a ") == "a"
+    for bad in (["a", " "], [1], [None]):
+        with pytest.raises(ValueError):
+            distinct_index_codes(bad, ())
+    with pytest.raises(ValueError):
+        as_date("20240132")
