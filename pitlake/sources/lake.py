@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitlake.functions.newest import newest
 from pitlake.plans.ledger import LEDGER, committed_rows, latest_commits
 from pitlake.plans.runs import RUN_EVENTS, run_status
 from pitlake.sources.datasets import DATASETS, Dataset
@@ -43,7 +44,9 @@ class Lake:
 
     def stored(self, dataset: Dataset) -> DataFrame:
         """Rows of every run, with the folder columns."""
-        schema = T.StructType(dataset.schema.fields + [T.StructField("run_id", T.StringType())])
+        extra = [name for name in [*dataset.folders, "run_id"] if name not in dataset.columns]
+        folders = [T.StructField(name, T.StringType()) for name in extra]
+        schema = T.StructType(dataset.schema.fields + folders)
         return self.read(self.path("tables", dataset.name), schema)
 
     def commits(self) -> DataFrame:
@@ -58,6 +61,10 @@ class Lake:
         # selective side.
         commits = self.commits().where(F.col("dataset_id") == dataset.id)
         rows = committed_rows(self.stored(dataset), latest_commits(commits))
+        if dataset.strategy == "calendar_year":
+            # A year's batch may hold days of another year; that year's own batch has the say.
+            own = F.year("cal_date") == F.col("year").cast("int")
+            rows = newest(rows.withColumn("own", own), dataset.key, ["own"])
         return rows.select(*dataset.columns)
 
     def tables(self) -> dict[str, DataFrame]:

@@ -420,6 +420,24 @@ def test_registry():
         get_dataset("other.daily")
 
 
+def test_stray_calendar_days_give_way_to_their_own_year(spark, landing):
+    columns = ["exchange", "cal_date", "is_open"]
+    landing.put(
+        "trade_cal", "exchange=SSE/year=2023",
+        [("SSE", "20231229", "1"), ("SSE", "20240102", "0")], columns,
+    )
+    market = lake(spark, landing)
+    market.sync("trade_cal", start="2023-01-01")
+    assert values(market.table("trade_cal").orderBy("cal_date"), "cal_date is_open") == [
+        (date(2023, 12, 29), 1), (D2, 0),
+    ]
+    landing.calendar(2024)
+    market.sync("trade_cal", start="2024-01-01")
+    assert values(market.table("trade_cal").orderBy("cal_date"), "cal_date is_open") == [
+        (date(2023, 12, 29), 1), (D1, 0), (D2, 1), (D3, 1),
+    ]
+
+
 def test_variants_of_one_request_are_one_partition(spark, landing):
     dataset = DATASETS["stock_basic"]
     text = ", ".join(f"`{c}` string" for c in [*dataset.columns, "partition_id", "variant"])
