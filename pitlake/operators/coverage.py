@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pitlake.functions.predicates import within
 from pitlake.operators.prices import KEY
-from pitlake.sources.datasets import CALENDAR_EXCHANGE, DATASETS
+from pitlake.sources.datasets import CALENDAR_EXCHANGE, DATASETS, PREFIX
 
 # Whole-table datasets with the first and last day a row stands for (None: undated).
 WHOLE: dict[str, tuple[str, str] | None] = {
@@ -144,25 +144,31 @@ def health(
         F.min("cal_date").alias("first_date"),
         F.max("cal_date").alias("last_date"),
     ).withColumn("dataset", F.lit("trade_cal"))
-    coverage = (
-        _dated_coverage(tables, ledger, open_days, start, end)
-        .unionByName(calendar_coverage, allowMissingColumns=True)
-        .unionByName(_whole_table_spans(tables), allowMissingColumns=True)
-    )
-    commits = ledger.groupBy("dataset_id").agg(F.max("committed_at").alias("last_committed_at"))
-    report = spark.createDataFrame(
-        [(rank, name, DATASETS[name].id) for rank, name in enumerate(REPORT_ORDER)],
-        "rank int, dataset string, dataset_id string",
+    commits = ledger.groupBy(
+        F.substring_index("dataset_id", ".", -1).alias("dataset")
+    ).agg(F.max("committed_at").alias("last_committed_at"))
+    names = F.array(*[F.lit(name) for name in REPORT_ORDER])
+    report = spark.range(0, len(REPORT_ORDER), numPartitions=1).select(
+        F.get(names, F.col("id").cast("int")).alias("dataset"), F.col("id").alias("rank")
     )
+    # Each dataset has at most one row with each of these columns, so one small aggregate brings
+    # them together; datasets without any row still have their rank.
+    parts = [
+        _dated_coverage(tables, ledger, open_days, start, end),
+        calendar_coverage, _whole_table_spans(tables), commits, report,
+    ]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    measures = [name for name in merged.columns if name != "dataset"]
+    rows = merged.groupBy("dataset").agg(*[F.max(name).alias(name) for name in measures])
     named = F.col("dataset")
     on_open_days = named.isin(ON_OPEN_DAYS)
     whole = named.isin(list(WHOLE))
     expected = F.when(on_open_days, expected_open).when(
         named.isin("trade_cal", "index_daily"), F.lit(span).cast("long")
     )
-    rows = report.join(coverage, "dataset", "left").join(commits, "dataset_id", "left")
-    rows = rows.withColumns(
+    rows = rows.where(F.col("rank").isNotNull()).withColumns(
         {
+            "dataset_id": F.concat(F.lit(f"{PREFIX}."), named),
             "expected_days": expected,
             "available_days": F.when(~whole, F.coalesce("available_days", _no_rows())),
             "unmatched_daily_rows": F.when(
