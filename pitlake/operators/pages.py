@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REQUEST = ["partition_id", "variant"]
@@ -27,19 +27,22 @@ def page_rows(rows: DataFrame, columns: Sequence[str], order: Sequence[str]) ->
 def page_audit(manifest: DataFrame, pages: DataFrame, repeated_keys: DataFrame) -> DataFrame:
     """One verdict per request.
 
-    ``manifest`` has one row per page asked for (``page``, ``page_offset``, ``has_columns``),
-    ``pages`` is ``page_rows`` and ``repeated_keys`` the keys met on more than one page. The window
-    runs over pages, not rows.
+    ``manifest`` has one row per page asked for (``page`` from 0, ``page_offset``, ``has_columns``),
+    ``pages`` is ``page_rows`` and ``repeated_keys`` the keys met on more than one page. Each page is
+    compared with the one before it by a join on the page number: offsets that follow from page to
+    page follow from the start, and no request is ever gathered in one place.
     """
-    in_order = Window.partitionBy(*REQUEST).orderBy("page")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     seen = manifest.join(pages, [*REQUEST, "page"], "left").withColumn(
         "n", F.coalesce("n", F.lit(0).cast("long"))
     )
-    stepped = seen.select(
+    before = seen.select(
+        *REQUEST, (F.col("page") + 1).alias("page"),
+        (F.col("page_offset") + F.col("n")).alias("due"), F.col("first_row").alias("row_before"),
+    )
+    stepped = seen.join(before, [*REQUEST, "page"], "left").select(
         *REQUEST, "page", "n", "has_columns",
-        (F.lag("first_row").over(in_order) == F.col("first_row")).alias("stuck"),
-        (F.col("page_offset") != F.coalesce(F.sum("n").over(before), F.lit(0))).alias("gap"),
+        (F.col("row_before") == F.col("first_row")).alias("stuck"),
+        (F.col("page_offset") != F.coalesce("due", F.lit(0).cast("long"))).alias("gap"),
     )
     verdict = stepped.groupBy(*REQUEST).agg(
         F.count(F.lit(1)).alias("pages"),

@@ -379,7 +379,8 @@ def test_pages(spark):
     assert capped.complete and capped.row_count == 5
     assert not audit([3, 2], [0, 3]).complete
     assert audit([2, 2, 0], [0, 2, 4], first_rows=[7, 7, 0]).stuck_pages == 1
-    assert audit([2, 2, 0], [0, 1, 4]).offset_errors == 1
+    assert audit([2, 2, 0], [0, 1, 3]).offset_errors == 1
+    assert audit([2, 2, 0], [1, 3, 5]).offset_errors == 1
     assert audit([2, 0], [0, 2], has_columns=False).pages_without_columns == 2
     repeated = audit([2, 2, 0], [0, 2, 4], keys=[1, 2, 3, 2])
     assert repeated.repeated_keys == 1 and not repeated.complete

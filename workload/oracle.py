@@ -579,17 +579,22 @@ oracle(
          day(any_value(ts)) as d
   from events group by 1, 2, 3),
 asked as (
-  select * from received
-  union all select partition_id, variant, 24, 0, null, any_value(d) from received
-  where d % 7 <> 0 group by 1, 2),
+  select q.partition_id, q.variant, h.page, coalesce(r.n, 0) as n, r.first_row, q.d
+  from (select partition_id, variant, any_value(d) as d from received group by 1, 2) q
+  cross join (select unnest(generate_series(0, 24)) as page) h
+  left join received r on r.partition_id = q.partition_id and r.variant = q.variant
+    and r.page = h.page
+  where h.page < 24 or q.d % 7 <> 0),
 stepped as (
-  select *, lag(first_row) over w = first_row as stuck, (d * 24 + page) % 131 = 0 as gap,
+  select *, lag(first_row) over w = first_row as stuck,
+         (d * 24 + page) % 131 = 0 or (page > 0 and (d * 24 + page - 1) % 131 = 0) as gap,
          not (page = 24 and d % 11 = 0) as has_columns
   from asked window w as (partition by partition_id, variant order by page)),
 verdict as (
   select partition_id, variant, count(*) as pages, cast(sum(n) as bigint) as row_count,
          count(*) filter (where stuck) as stuck_pages, count(*) filter (where gap) as offset_errors,
-         count(*) filter (where not has_columns) as pages_without_columns, max(page) = 24 as ended
+         count(*) filter (where not has_columns) as pages_without_columns,
+         arg_max(n, page) = 0 as ended
   from stepped group by 1, 2),
 met as (
   select partition_id, variant, count(*) as repeated_keys from (

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitlake import MarketLake
@@ -535,12 +535,12 @@ def page_audit(t):
     )
     received = pages.page_rows(rows, ["cell"], ["event_id"])
     number = F.dayofmonth(F.to_date(F.substring_index("partition_id", "=", -1)))
-    asked = rows.select(*pages.REQUEST, F.explode(F.array("page", F.lit(24))).alias("page")).distinct()
-    sized = asked.join(received, [*pages.REQUEST, "page"], "left")
-    before = pages.Window.partitionBy(*pages.REQUEST).orderBy("page").rowsBetween(
-        pages.Window.unboundedPreceding, -1
+    hours = F.explode(F.sequence(F.lit(0), F.lit(24))).alias("page")
+    asked = rows.select(*pages.REQUEST).distinct().select(*pages.REQUEST, hours)
+    before = Window.partitionBy(*pages.REQUEST).orderBy("page").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    manifest = sized.withColumn(
+    manifest = asked.join(received, [*pages.REQUEST, "page"], "left").withColumn(
         "page_offset", F.coalesce(F.sum("n").over(before), F.lit(0))
         + F.when((number * 24 + F.col("page")) % 131 == 0, 1).otherwise(0)
     ).select(
