@@ -25,7 +25,7 @@ from pitlake.plans.sync import (
 )
 from pitlake.sources.datasets import DATASETS, get_dataset
 from pitlake.sources.lake import Lake
-from pitlake.sources.landing import LandingZone
+from pitlake.sources.landing import LandingZone, Source
 
 Codes = str | Iterable[str] | None
 ORDER = ["trade_date", "ts_code"]
@@ -34,6 +34,7 @@ ORDER = ["trade_date", "ts_code"]
 class MarketLake:
     """Every query returns a lazy DataFrame and reads the committed state when it runs.
 
+    ``landing`` is a folder in one of Spark's file formats or any ``Source`` of landed rows.
     ``tables`` (dataset name to DataFrame) and ``ledger`` replace the lake's own, so the same
     queries run over frames from anywhere.
     """
@@ -42,7 +43,7 @@ class MarketLake:
         self,
         spark: SparkSession,
         root: str | None = None,
-        landing: str | None = None,
+        landing: str | Source | None = None,
         *,
         landing_format: str = "parquet",
         tables: Mapping[str, DataFrame] | None = None,
@@ -53,7 +54,9 @@ class MarketLake:
             raise ValueError("give a lake root or tables")
         self.spark = spark
         self.lake = Lake(spark, root) if root is not None else None
-        self.landing = LandingZone(spark, landing, landing_format) if landing else None
+        if isinstance(landing, str):
+            landing = LandingZone(spark, landing, landing_format)
+        self.landing = landing
         self.read_only = read_only
         self._tables = tables
         self._ledger = ledger

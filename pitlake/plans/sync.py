@@ -27,7 +27,7 @@ from pitlake.plans import partitions
 from pitlake.plans.ledger import already_done, pending, sync_counts, sync_results
 from pitlake.sources.datasets import DATASETS, DEFAULT_INDEX_CODES, Dataset, get_dataset
 from pitlake.sources.lake import Lake
-from pitlake.sources.landing import drop_exact_copies, land_typed
+from pitlake.sources.landing import Source, drop_exact_copies, land_typed
 
 # What a full and an index-only update bring in, in this order. Masters are always
 # refreshed; dated datasets only fill what is missing.
@@ -62,7 +62,7 @@ class SyncFailed(RuntimeError):
 
 
 class Synchronizer:
-    def __init__(self, lake: Lake, landing) -> None:
+    def __init__(self, lake: Lake, landing: Source) -> None:
         self.lake = lake
         self.landing = landing
         self.spark = lake.spark

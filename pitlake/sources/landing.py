@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,12 @@ from pitlake.functions.typing import typed
 from pitlake.sources.datasets import Dataset
 
 
+class Source(Protocol):
+    """Where landed rows come from: all source columns as text, plus ``partition_id``."""
+
+    def read(self, dataset: Dataset) -> DataFrame: ...
+
+
 class LandingZone:
     """Text files under ``<root>/<dataset>/partition_id=<id>/[variant=<v>/]``.
 

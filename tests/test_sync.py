@@ -222,8 +222,7 @@ def test_missing_source_column_fails_the_runs(spark, landing):
         def read(self, dataset):
             return spark.createDataFrame([], "partition_id string, ts_code string")
 
-    market = lake(spark, landing)
-    market.landing = Narrow()
+    market = MarketLake(spark, f"{landing.root}/lake", Narrow())
     with pytest.raises(SyncFailed, match="trade_date"):
         market.sync("index_daily", start=D2)
     assert values(market.runs(), "status error_type") == [("FAILED", "ValueError")]
@@ -235,8 +234,7 @@ def test_interrupted_sync_commits_nothing(spark, landing):
         def read(self, dataset):
             raise KeyboardInterrupt
 
-    market = lake(spark, landing)
-    market.landing = Interrupting()
+    market = MarketLake(spark, f"{landing.root}/lake", Interrupting())
     with pytest.raises(KeyboardInterrupt):
         market.sync("index_daily", start=D2)
     assert values(market.runs(), "status error_type") == [("INTERRUPTED", "KeyboardInterrupt")]
