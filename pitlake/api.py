@@ -154,6 +154,8 @@ class MarketLake:
 
     def runs(self) -> DataFrame:
         """The run log, one row per run."""
+        if self.lake is None:
+            raise ValueError("the run log needs a lake root")
         return self.lake.runs(F.lit(self._opened_at))
 
     def sql(self, query: str, **args) -> DataFrame:
