@@ -241,6 +241,50 @@ def test_interrupted_sync_commits_nothing(spark, landing):
     assert market.table("index_daily").count() == 0
 
 
+@pytest.mark.parametrize(
+    ("error", "status"), [(RuntimeError("disk full"), "FAILED"), (KeyboardInterrupt(), "INTERRUPTED")]
+)
+def test_files_written_before_an_error_are_never_read(spark, landing, monkeypatch, error, status):
+    from pitlake.plans.sync import Synchronizer
+
+    landing.day("index_daily", D2, [("I", "1")])
+    market = lake(spark, landing)
+    market.sync("index_daily", start=D2)
+    committed = values(market.status())
+    landing.generation += 1
+    landing.day("index_daily", D2, [("I", "2"), ("J", "3")])
+    market = lake(spark, landing)
+    write = Synchronizer._write
+
+    def write_and_stop(self, *args):
+        write(self, *args)
+        raise error
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Synchronizer, "_write", write_and_stop)
+        with pytest.raises(SyncFailed if status == "FAILED" else KeyboardInterrupt):
+            market.sync("index_daily", start=D2, refresh=True)
+    assert values(market.status()) == committed
+    assert values(market.index_bars(), "ts_code close") == [("I", 1.0)]
+    assert sorted(values(market.runs(), "status")) == sorted([("SUCCESS",), (status,)])
+    market.sync("index_daily", start=D2, refresh=True)
+    assert values(market.index_bars(), "ts_code close") == [("I", 2.0), ("J", 3.0)]
+
+
+def test_a_run_without_an_end_is_recovered_on_reopening(spark, landing):
+    from pitlake.plans.sync import Synchronizer
+
+    market = lake(spark, landing)
+    started = partitions.calendar_days(
+        partitions.bounds(spark, D2, D2), DATASETS["index_daily"].id
+    ).withColumn("run_id", F.lit("r"))
+    Synchronizer(market.lake, market.landing)._log(started, "b", "RUNNING")
+    assert values(market.runs(), "status") == [("RUNNING",)]
+    assert values(lake(spark, landing).runs(), "status error_type") == [
+        ("INTERRUPTED", "ProcessInterrupted")
+    ]
+
+
 def test_read_only_lake_answers_and_refuses_to_sync(spark, landing):
     market = lake(spark, landing, read_only=True)
     assert market.panel("A", adjust="hfq").count() == 0
