@@ -92,15 +92,14 @@ oracle(
 )
 oracle(
     "panel_qfq_asof", PANEL,
-    f"{_asof} select {_scaled(QFQ, ANCHOR)}{METRICS} {FROM_ANCHORED} {WITH_METRICS} "
-    "where b.trade_date >= date '2024-01-03'",
+    f"{_asof} select {_scaled(QFQ, ANCHOR)}{METRICS} {FROM_ANCHORED} {WITH_METRICS}",
 )
 oracle(
     "index_basic", "index_basic",
     ' select * exclude ("desc"), "desc" as description from index_basic',
 )
 oracle(
-    "index_bars", "index_daily", " select * from index_daily where trade_date >= date '2024-01-02'"
+    "index_bars", "index_daily", " select * from index_daily"
 )
 oracle("index_metrics", "index_dailybasic", " select * from index_dailybasic")
 oracle(
@@ -230,7 +229,7 @@ oracle(
     from daily b
     left join adj_factor f on f.ts_code = b.ts_code and f.trade_date = b.trade_date
     left join constraints_day c on c.ts_code = b.ts_code and c.trade_date = b.trade_date
-    where b.trade_date >= date '2024-01-05' group by b.trade_date""",
+    group by b.trade_date""",
 )
 
 # Audit

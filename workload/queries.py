@@ -139,7 +139,7 @@ def panel_qfq(t):
 
 @query
 def panel_qfq_asof(t):
-    return market(t).panel(start="2024-01-03", adjust="qfq", as_of=ANCHOR_DAY)
+    return market(t).panel(adjust="qfq", as_of=ANCHOR_DAY)
 
 
 @query
@@ -149,7 +149,7 @@ def index_basic(t):
 
 @query
 def index_bars(t):
-    return market(t).index_bars(start="2024-01-02")
+    return market(t).index_bars()
 
 
 @query
@@ -607,7 +607,7 @@ def sql_adhoc(t):
         where bar.trade_date >= :since
         group by bar.trade_date
         """,
-        since=date(2024, 1, 5),
+        since=date(2024, 1, 1),
     )
 
 
