@@ -28,6 +28,7 @@ WORDS = 5
 PERCENT = 80
 HEAVY = 1 << 17  # n-grams whose frequency orders columns: those in most documents; it moves costs, not results
 HEAVY_FROM = 16  # documents
+MARK_BITS = 31
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 
@@ -59,54 +60,65 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def heavy_columns(docs: DataFrame, n: int) -> DataFrame:
-    """hash, documents: n-grams that stand in several documents of one batch, counted over all batches."""
+KEYS = "doc_id long, size long, key1 long, key2 long, hash long, documents long"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def keys_and_counts(docs: DataFrame, n: int) -> DataFrame:
+    """A row for each document: size and key of its set. And rows (hash, documents): n-grams in several documents of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found, times = np.unique(np.concatenate(shingle_sets(batch, n)), return_counts=True)
-            many = times > 1
-            yield pa.record_batch([pa.array(found[many].view(np.int64)), pa.array(times[many].astype(np.int64))], names=["hash", "documents"])
+            sets = shingle_sets(batch, n)
+            found, times = np.unique(np.concatenate(sets), return_counts=True)
+            found, times = found[times > 1], times[times > 1]
+            key1, key2 = set_keys(sets)
+            more, less = pa.nulls(len(found), pa.int64()), pa.nulls(len(sets), pa.int64())
+            columns = [pa.concat_arrays([x, more]) for x in (batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(key1), pa.array(key2))]
+            columns += [pa.concat_arrays([less, pa.array(x)]) for x in (found.view(np.int64), times.astype(np.int64))]
+            yield pa.record_batch(columns, names=["doc_id", "size", "key1", "key2", "hash", "documents"])
+
+    return mapped(docs, run, KEYS)
+
 
-    return mapped(docs, count, "hash long, documents long").groupBy("hash").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= HEAVY_FROM)
+def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that equal sets share."""
+    key1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+    key2 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return key1.view(np.int64), key2.view(np.int64)
 
 
 def incidence(docs: DataFrame, heavy, n: int, percent: int) -> DataFrame:
-    """doc_id, size, set key and the first columns in the order (frequency, hash); `hot` marks the frequent ones."""
+    """Entries of the matrix: column, doc_id, mark (the set's size and the column's place in the order), hot (frequent).
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only each document's first columns in the order (frequency, hash), and of equal sets in a batch only one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = heavy.value
         for batch in slices(batches):
             sets = shingle_sets(batch, n)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            key1, key2, parts, hots = [], [], [], []
-            for s in sets:
-                key1.append(int(s.sum(dtype=np.uint64)))
-                key2.append(int(mix(s).sum(dtype=np.uint64)))
-                take = prefix_length(len(s), percent) if len(s) else 0
-                if len(known) and len(s):
+            key1, key2 = set_keys(sets)
+            seen, columns, docs, marks, hots = set(), [], [], [], []
+            for s, key, doc in zip(sets, zip(key1.tolist(), key2.tolist(), strict=True), batch.column("doc_id").to_numpy(), strict=True):
+                if not len(s) or (len(s), key) in seen:
+                    continue
+                seen.add((len(s), key))
+                weight = np.zeros(len(s), np.int64)
+                if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     weight = np.where(known[at] == s, rank[at], 0)
-                    order = np.argsort(weight, kind="stable")[:take]
-                    hots.append(weight[order] > 0)
-                else:
-                    order = slice(0, take)
-                    hots.append(np.zeros(take, np.bool_))
-                parts.append(s[order])
-            ends = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32))
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    pa.array(sizes),
-                    pa.array(np.array(key1, np.uint64).view(np.int64)),
-                    pa.array(np.array(key2, np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64))),
-                    pa.array([int(h.argmax()) if h.any() else len(h) for h in hots], pa.int32()),
-                ],
-                names=["doc_id", "size", "key1", "key2", "columns", "hot_from"],
-            )
-
-    return mapped(docs, rows, "doc_id long, size long, key1 long, key2 long, columns array<long>, hot_from int")
+                order = np.argsort(weight, kind="stable")[: prefix_length(len(s), percent)]
+                columns.append(s[order])
+                docs.append(np.full(len(order), doc))
+                marks.append((len(s) << MARK_BITS) + np.arange(len(order)))
+                hots.append(weight[order] > 0)
+            if columns:
+                yield pa.record_batch(
+                    [pa.array(np.concatenate(columns).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (docs, marks, hots))],
+                    names=["column", "doc_id", "mark", "hot"],
+                )
+
+    return mapped(docs, run, "column long, doc_id long, mark long, hot boolean")
 
 
 def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,30 +164,47 @@ def enough(a: str, b: str, percent: int):
     return F.expr(f"{sizes} and {100 + percent} * {left} >= {percent} * ({a}size + {b}size)")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full overlap reaches the similarity."""
-    pairs = kept(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, before they are shuffled."""
+    codec = pa.Codec("zstd", 3)
+    for batch in slices(batches):
+        texts = [text.as_buffer() for text in batch.column("text").cast(pa.binary())]
+        yield pa.record_batch(
+            [batch.column("doc_id"), pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary()), pa.array([t.size for t in texts], pa.int64())],
+            names=["doc_id", "body", "bytes"],
+        )
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield pa.record_batch([batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch, n)], pa.binary())], names=["doc_id", "grams"])
 
-    grams = kept(mapped(docs.join(ids, "doc_id", "left_semi"), sets, "doc_id long, grams binary"))
-    # A repeated doc_id has a row per text; rows are paired by their first, as incidence() took them.
-    both = pairs.join(grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("left")), "a")
-    both = both.join(grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("right")), "b").select("a", "b", "left", "right")
+def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full overlap reaches the similarity.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+    Each a is a block: its own text comes first, then those it is paired with. Texts are moved compressed; their
+    sets, which are several times larger, are made where they are compared.
+    """
+    pairs = kept(pairs)
+    needed = pairs.select(F.col("a").alias("block"), F.col("b").alias("doc_id")).union(pairs.select("a", "a").distinct())
+    rows = mapped(docs, packed, "doc_id long, body binary, bytes long").join(needed, "doc_id")
+    rows = rows.withColumn("other", F.col("doc_id") != F.col("block")).repartition("block").sortWithinPartitions("block", "other")
 
-    return kept(mapped(both, count, "a long, b long"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, block, own = pa.Codec("zstd"), None, None
+        for whole in batches:
+            for batch in slices([whole], "body", 2 << 20):
+                bodies = zip(batch.column("body"), batch.column("bytes").to_pylist(), strict=True)
+                texts = pa.array([codec.decompress(x.as_buffer(), size, asbytes=True) for x, size in bodies], pa.large_binary())
+                sets = shingle_sets(pa.record_batch([texts], names=["text"]), n)
+                out: tuple[list, list] = ([], [])
+                for a, b, s in zip(batch.column("block").to_pylist(), batch.column("doc_id").to_pylist(), sets, strict=True):
+                    if a != block or a == b:
+                        block, own = a, s
+                        continue
+                    common = len(np.intersect1d(own, s, assume_unique=True))
+                    if 100 * common >= percent * (len(own) + len(s) - common):
+                        out[0].append(a)
+                        out[1].append(b)
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+    return kept(mapped(rows, count, "a long, b long"))
 
 
 def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -186,27 +215,34 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
     document's set to other sets, which join the components; copies of one set aren't expanded into pairs.
 
     Null and empty texts have no n-grams and link with nothing; a text of under n words is one n-gram. A
-    doc_id that is repeated gets a row for each of its rows, all linked with each other. Rows without a doc_id are left out, other columns
-    ignored; an empty table gives an empty one. n-grams are compared by 64-bit hashes.
+    repeated doc_id gets a row for each of its rows; a link of any of its texts is its link. Rows without a
+    doc_id are left out, other columns ignored; an empty table gives an empty one. n-grams are compared by
+    64-bit hashes.
     """
     if not 50 < percent <= 100 or n < 1:
         raise ValueError("percent is over 50 and at most 100, n is 1 or more")
     spark = documents.sparkSession
     docs = text_frame(documents)
-    top = heavy_columns(docs, n).orderBy(F.desc("documents"), "hash").limit(HEAVY).toPandas()
+    first_pass = kept(keys_and_counts(docs, n))
+    rows = first_pass.where("doc_id is not null").select("doc_id", "size", "key1", "key2")
+    counts = first_pass.where("doc_id is null").groupBy("hash").agg(F.sum("documents").alias("documents"))
+    top = counts.where(F.col("documents") >= HEAVY_FROM).orderBy(F.desc("documents"), "hash").limit(HEAVY).toPandas()
     known = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(known)
     heavy = spark.sparkContext.broadcast((known[order], top["documents"].to_numpy(np.int64)[order]))
-    rows = kept(incidence(docs, heavy, n, percent))
-    # One row per distinct set.
+    # Each distinct set is known by its smallest document.
     classes = rows.where("size > 0").groupBy("size", "key1", "key2").agg(F.min("doc_id").alias("rep"))
-    sets = rows.where("size > 0").groupBy("size", "key1", "key2").agg(F.min_by(F.struct("doc_id", "columns", "hot_from"), "doc_id").alias("row")).select("size", "row.*")
-    band = F.floor(F.log("size") / math.log(BAND)).cast("long")
-    entries = sets.select("doc_id", "size", band.alias("band"), "hot_from", F.posexplode("columns").alias("place", "column"))
-    narrow = entries.select("column", "band", "doc_id", "size", F.col("place").cast("long").alias("place"), (F.col("place") >= F.col("hot_from")).alias("hot"))
+    rep_of = kept(rows.join(classes, ["size", "key1", "key2"]).select("doc_id", "rep").distinct())
+    entries = incidence(docs, heavy, n, percent)
+    size, place = F.expr(f"shiftright(mark, {MARK_BITS})"), F.expr(f"mark & {(1 << MARK_BITS) - 1}")
+    band = F.floor(F.log(size) / math.log(BAND)).cast("long")
+
+    def spread(frame: DataFrame) -> DataFrame:
+        return frame.select("column", band.alias("band"), "doc_id", size.alias("size"), place.alias("place"))
+
     # Columns in few documents: sorted and read once. Frequent ones: aggregates and a join, which can be split.
-    cold = mapped(narrow.where("not hot").drop("hot").repartition("column").sortWithinPartitions("column", "band", "doc_id"), shared_entries, ENTRY)
-    hot = narrow.where("hot").drop("hot")
+    cold = spread(entries.where("not hot").drop("hot").repartition("column")).sortWithinPartitions("column", "band", "doc_id")
+    hot = spread(entries.where("hot"))
     hubs = hot.groupBy("column", "band").agg(F.min(F.struct("doc_id", "size", "place")).alias("lead"))
     many = hot.groupBy("column").agg(F.count("*").alias("rows")).where("rows > 1").select("column")
     warm = (
@@ -214,12 +250,12 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
         .join(many, "column")
         .select(*hot.columns, F.col("lead.doc_id").alias("hub"), F.col("lead.size").alias("hub_size"), F.col("lead.place").alias("hub_place"))
     )
-    shared = kept(cold.unionByName(warm))
-    star = shared.where("hub <> doc_id").where(enough("", "hub_", percent)).select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    first = verified(star, docs, n, percent)
+    shared = kept(mapped(cold, shared_entries, ENTRY).unionByName(warm))
+    star = shared.where("hub <> doc_id").where(enough("", "hub_", percent)).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    first = verified(of_reps(star, rep_of), docs, n, percent)
     label = components(first)
-    placed = shared.select("column", "band", "doc_id", "size", "place").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = kept(placed.withColumn("label", F.coalesce("label", "doc_id")))
+    label = rep_of.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("label"))
+    placed = kept(shared.select("column", "band", "doc_id", "size", "place").join(label, "doc_id"))
     main = (
         placed.groupBy("column", "label").agg(F.count("*").alias("rows"))
         .groupBy("column").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("labels"))
@@ -234,20 +270,26 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
         outer.join(split, ["column", "band"])
         .where("x_label <> label and (label = main or x_doc_id < doc_id)")
         .where(enough("x_", "", percent))
-        .select(F.least("x_doc_id", "doc_id").alias("a"), F.greatest("x_doc_id", "doc_id").alias("b"))
-        .distinct()
+        .select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
     )
-    second = verified(second_pairs, docs, n, percent)
+    second = verified(of_reps(second_pairs, rep_of), docs, n, percent)
     links = first.unionByName(second)
     label = components(links)
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    of_class = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
-    of_class = of_class.select(
-        "size", "key1", "key2", F.coalesce("label", "rep").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("links")
+    of_class = label.withColumnRenamed("node", "rep").join(degree, "rep", "full").select("rep", "label", "n_links")
+    grouped = rep_of.join(of_class, "rep", "left").groupBy("doc_id").agg(
+        F.min(F.coalesce("label", "rep")).alias("component"), F.max(F.coalesce("n_links", F.lit(0).cast("long"))).alias("links")
     )
-    return rows.drop("columns", "hot_from").join(of_class, ["size", "key1", "key2"], "left").select(
+    return rows.join(grouped, "doc_id", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
     )
+
+
+def of_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
+    """Distinct pairs of the sets' representatives, the smaller first."""
+    pairs = pairs.distinct().join(rep_of.select(F.col("doc_id").alias("a"), F.col("rep").alias("x")), "a")
+    pairs = pairs.join(rep_of.select(F.col("doc_id").alias("b"), F.col("rep").alias("y")), "b").where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
