@@ -183,7 +183,8 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     """
     pairs = kept(pairs)
     needed = pairs.select(F.col("a").alias("block"), F.col("b").alias("doc_id")).union(pairs.select("a", "a").distinct())
-    rows = mapped(docs, packed, "doc_id long, body binary, bytes long").join(needed, "doc_id")
+    # The pairs' documents grow with the corpus, so they aren't broadcast, however few they look.
+    rows = mapped(docs, packed, "doc_id long, body binary, bytes long").hint("merge").join(needed, "doc_id")
     rows = rows.withColumn("other", F.col("doc_id") != F.col("block")).repartition("block").sortWithinPartitions("block", "other")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +243,7 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
     # Columns in few documents: sorted and read once. Frequent ones: aggregates and a join, which can be split.
     cold = spread(entries.where("not hot").drop("hot").repartition("column")).sortWithinPartitions("column", "band", "doc_id")
-    hot = spread(entries.where("hot"))
+    hot = kept(spread(entries.where("hot")))
     hubs = hot.groupBy("column", "band").agg(F.min(F.struct("doc_id", "size", "place")).alias("lead"))
     many = hot.groupBy("column").agg(F.count("*").alias("rows")).where("rows > 1").select("column")
     warm = (
