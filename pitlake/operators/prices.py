@@ -97,6 +97,5 @@ def adjusted_bars(
         return daily_bar_hfq(bars)
     if adjust == "qfq":
         anchors = latest_adj_factor(restrict(adj_factor, codes), as_of)
-        # One row per requested code: the caller's list bounds the size.
-        return daily_bar_qfq(bars, anchors if codes is None else F.broadcast(anchors))
+        return daily_bar_qfq(bars, anchors)
     return bars

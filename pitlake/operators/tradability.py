@@ -116,9 +116,8 @@ def stock_trade_constraints_asof(
 ) -> DataFrame:
     """One day of ``stock_trade_constraints``.
 
-    The day and the codes are applied to every input, since no filter above the full outer join
-    would reach the scans by itself; the master tables are cut to that day, so their joins are
-    plain equi-joins.
+    The day and the codes are applied to every input; the master tables are cut to that day, so their
+    joins are plain equi-joins.
     """
     on_day = F.col("trade_date") == F.lit(as_of)
 

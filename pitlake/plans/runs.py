@@ -12,8 +12,6 @@ RUN_EVENTS = struct(
     "event string, event_ts timestamp, rows_received bigint, error_type string, "
     "error_message string"
 )
-# Fixed value: longest error text kept.
-ERROR_TEXT = 4000
 
 
 def run_status(events: DataFrame, reopened_at: Column) -> DataFrame:
@@ -21,11 +19,12 @@ def run_status(events: DataFrame, reopened_at: Column) -> DataFrame:
 
     A success stands whatever else was reported. Otherwise the first terminal event decides. A run
     begun before ``reopened_at`` without any terminal event died with its process. A failure caused
-    by a cancelled query is an interruption.
+    by a cancelled query is an interruption. Of terminal events at one time, the first by name, error type
+    and message stands, whatever their order in the log.
     """
     is_bad = F.col("event").isin("FAILED", "INTERRUPTED")
     ts = F.col("event_ts")
-    bad_row = F.struct("event", "event_ts", "error_type", "error_message")
+    bad_row = F.struct("event_ts", "event", "error_type", "error_message")
     runs = events.groupBy("run_id").agg(
         F.max("dataset_id").alias("dataset_id"),
         F.max("partition_id").alias("partition_id"),
@@ -33,7 +32,7 @@ def run_status(events: DataFrame, reopened_at: Column) -> DataFrame:
         F.min(F.when(F.col("event") == "RUNNING", ts)).alias("started_at"),
         F.min(F.when(F.col("event") == "SUCCESS", ts)).alias("success_at"),
         F.max(F.when(F.col("event") == "SUCCESS", F.col("rows_received"))).alias("rows_received"),
-        F.min_by(bad_row, F.when(is_bad, ts)).alias("bad"),
+        F.min(F.when(is_bad & ts.isNotNull(), bad_row)).alias("bad"),
     )
     done = F.col("success_at").isNotNull()
     failed = ~done & F.col("bad").isNotNull()
@@ -55,7 +54,7 @@ def run_status(events: DataFrame, reopened_at: Column) -> DataFrame:
         F.when(failed, F.col("bad.error_type"))
         .when(died, "ProcessInterrupted")
         .alias("error_type"),
-        F.when(failed, F.substring("bad.error_message", 1, ERROR_TEXT))
+        F.when(failed, F.col("bad.error_message"))
         .when(died, "the process ended before this run did")
         .alias("error_message"),
     )

@@ -386,7 +386,7 @@ def test_run_status_rules(spark):
     found = {r.run_id: (r.status, r.error_type, r.error_message) for r in resolved.collect()}
     assert found["late error"] == ("SUCCESS", None, None)
     assert found["late success"] == ("SUCCESS", None, None)
-    assert found["first error stands"] == ("FAILED", "E", "y" * 4000)
+    assert found["first error stands"] == ("FAILED", "E", "y" * 5000)
     assert found["cancelled"][0] == found["cancelled by engine"][0] == "INTERRUPTED"
     assert found["other failure"][0] == "FAILED"
     assert found["died"][:2] == ("INTERRUPTED", "ProcessInterrupted")

@@ -442,10 +442,10 @@ runs as (
          min(ts) filter (where event_type = 'purchase') as success_at,
          max(event_id) filter (where event_type = 'purchase') as rows_received,
          min(ts) filter (where event_type in ('error', 'view')) as bad_at,
-         arg_min(event_type, ts) filter (where event_type in ('error', 'view')) as bad_event,
-         arg_min(kind, ts) filter (where event_type in ('error', 'view')) as bad_kind,
-         arg_min(msg, ts) filter (where event_type in ('error', 'view')) as bad_msg
+         min({'ts': ts, 'event': event_type, 'kind': kind, 'msg': msg})
+           filter (where event_type in ('error', 'view')) as bad
   from log group by 1),
+opened as (select *, bad.event as bad_event, bad.kind as bad_kind, bad.msg as bad_msg from runs),
 judged as (
   select *, case when success_at is not null then 'SUCCESS'
                  when bad_event = 'view' then 'INTERRUPTED'
@@ -454,13 +454,13 @@ judged as (
                  when bad_event = 'error' then 'FAILED'
                  when started_at < timestamp '2024-01-20' then 'INTERRUPTED'
                  else 'RUNNING' end as status
-  from runs)
+  from opened)
 select run_id, 'tushare.daily' as dataset_id, split_part(run_id, '/', 2) as partition_id, status,
        '{}' as request_params, rows_received, started_at, coalesce(success_at, bad_at)
          as finished_at,
        case when status = 'SUCCESS' then null when bad_at is not null then bad_kind
             when status = 'INTERRUPTED' then 'ProcessInterrupted' end as error_type,
-       case when status = 'SUCCESS' then null when bad_at is not null then bad_msg[1:4000]
+       case when status = 'SUCCESS' then null when bad_at is not null then bad_msg
             when status = 'INTERRUPTED' then 'the process ended before this run did' end
          as error_message
 from judged""",
@@ -468,12 +468,6 @@ from judged""",
 
 # Landing and checks
 
-oracle(
-    "land_typed", "landed",
-    """ select partition_id, ts_code, cast(strptime(trim(trade_date), '%Y%m%d') as date)
-      as trade_date, cast(adj_factor as double) as adj_factor
-    from landed where adj_factor is null or adj_factor <> 'bad'""",
-)
 _text_date = "strftime({0}, '%Y%m%d') as {0}"
 oracle(
     "variant_union", "stock_basic",
@@ -527,9 +521,7 @@ oracle(
     union all select 'tushare.namechange', 'change_reason', count(*) from namechange
     union all select 'tushare.index_classify', '', count(*) from index_classify""",
 )
-oracle(
-    "validate_batches", "landed",
-    f""", plan as (select 'trade_date=' || strftime(d, '%Y-%m-%d') as partition_id
+VERDICTS = f""", plan as (select 'trade_date=' || strftime(d, '%Y-%m-%d') as partition_id
                 from ({EVENT_DAYS})),
 copies as (select *, count(*) over (partition by partition_id, ts_code, trade_date) as n from landed),
 counted as (
@@ -543,13 +535,23 @@ select plan.partition_id, coalesce(row_count, 0) as row_count,
        case when row_count is null then 'tushare.adj_factor: empty batch'
             when null_rows > 0 then 'tushare.adj_factor: ' || null_rows
               || ' rows with NULL in a required column'
+            when repeated_rows > 0 then 'tushare.adj_factor: ' || repeated_rows
+              || ' rows with a repeated key'
             when foreign_rows > 0 then 'tushare.adj_factor: ' || foreign_rows
               || ' rows outside the requested partition'
             when bad_rows > 0 then 'tushare.adj_factor: ' || bad_rows
-              || ' rows with malformed values'
-            when repeated_rows > 0 then 'tushare.adj_factor: ' || repeated_rows
-              || ' rows with a repeated key' end as error_message
-from plan left join counted on counted.partition_id = plan.partition_id""",
+              || ' rows with malformed values' end as error_message
+from plan left join counted on counted.partition_id = plan.partition_id"""
+oracle(
+    "validate_batches", "landed",
+    VERDICTS,
+)
+oracle(
+    "land_typed", "landed",
+    f"""{VERDICTS.split("select plan.partition_id")[0].rstrip()}, verdicts as (select plan.partition_id{VERDICTS.split("select plan.partition_id")[1]})
+select partition_id, ts_code, cast(strptime(trim(trade_date), '%Y%m%d') as date) as trade_date,
+       cast(adj_factor as double) as adj_factor
+from landed where partition_id in (select partition_id from verdicts where error_message is null)""",
 )
 oracle(
     "validate_batches_no_key", "suspend_d",
@@ -563,8 +565,7 @@ oracle(
 oracle(
     "sync_report", "index_daily commits",
     f""", plan as (select 'trade_date=' || strftime(d, '%Y-%m-%d') as p from ({EVENT_DAYS})),
-done as (select distinct partition_id as p from commits where dataset_id = 'tushare.index_daily'
-         and partition_id < 'trade_date=2024-01-12')
+done as (select distinct partition_id as p from commits where dataset_id = 'tushare.index_daily')
 select 'tushare.index_daily' as dataset_id,
        count(*) filter (where p not in (select p from done)) as completed,
        count(*) filter (where p in (select p from done)) as skipped,
@@ -602,7 +603,7 @@ met as (
     from events group by all having count(distinct hour(ts)) > 1) group by 1, 2)
 select v.*, coalesce(m.repeated_keys, 0) as repeated_keys,
        stuck_pages = 0 and offset_errors = 0 and pages_without_columns = 0 and ended
-         and pages <= 1000 and coalesce(m.repeated_keys, 0) = 0 as complete
+         and coalesce(m.repeated_keys, 0) = 0 as complete
 from verdict v left join met m on m.partition_id = v.partition_id and m.variant = v.variant""",
 )
 oracle(
