@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, slices, text_frame
+from .common import mapped, sample_of, slices, text_frame
 
 TRAIN_PAGES = 3_000  # pages the weights are fitted on, at most; those of the least hashes
 PRIOR_STRENGTH = 0.02  # pull towards the prior weights, per labelled node
@@ -390,7 +390,7 @@ def texts(sources: list[str], model: Potentials) -> list[str]:
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Potentials:
     """Potentials fitted on at most train_pages whole pages, which come to the driver one by one."""
     source = text_frame(pages, "page_id", "html")
-    rows = source.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(train_pages)
+    rows = sample_of(source, train_pages, "doc_id", "text")
     return fit([row["text"] for row in rows.toLocalIterator()])
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_values, mapped, mix, raw, slices, text_frame, white_space, words
+from .common import byte_values, mapped, mix, raw, sample_of, slices, text_frame, white_space, words
 
 WORD_BUCKETS = 4096
 SHAPE_BUCKETS = 1024
@@ -219,7 +219,7 @@ def train(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS)
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marked = marked.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # The bound makes the broadcast small.
-    sample = F.broadcast(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
+    sample = F.broadcast(sample_of(marked, train_rows, "doc_id"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
