@@ -96,6 +96,8 @@ def matches_in_shard(items: Items, hashes: np.ndarray, owner: np.ndarray) -> tup
 
 def longest(items: Items, window: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Overlapping windows of one item on one diagonal, joined: rows (item, item's word, shard's word, length)."""
+    if not len(window):
+        return np.zeros((0, 4), np.int64)
     begin = items.starts[window]
     item = items.owner[begin]
     diagonal = place - begin
