@@ -196,6 +196,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (unsigned 32-bit) of each text."""
+        if not texts:
+            return []
         if len(self.number) > CACHE_WORDS:
             self.reset()
         numbers, missing = [], []

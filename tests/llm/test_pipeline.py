@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     for table in ("documents", "benchmark", "conversations"):
         con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
-    expected = con.execute(ORACLE[name]).fetch_arrow_table().to_pylist()
+    expected = con.execute(ORACLE[name]).to_arrow_table().to_pylist()
     found = [r.asDict() for r in QUERIES[name](spark, SF).collect()]
     key = lambda row: sorted((k, str(v)) for k, v in row.items())
     assert sorted(map(key, found)) == sorted(map(key, expected))
