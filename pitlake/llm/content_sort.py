@@ -1,8 +1,9 @@
 """Exact duplicates by sorting content.
 
 Texts equal within an input batch are merged first, so a hot text reaches its sort partition once per
-batch, not once per copy. What is left is range-partitioned by the normalised text (Spark samples the
-splitters), sorted outside memory within each partition, and neighbours are compared in full.
+batch, not once per copy. What is left is range-partitioned by the normalised text's first bytes and, where many
+texts begin alike, their digest (Spark samples the splitters, which so stay small), sorted outside memory within
+each partition, and neighbours are compared in full.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, mapped, slices, text_frame
 
+SPLITTER_BYTES = 32
 PARTIAL = "norm binary, digest binary, smallest long, largest long, copies long"
 
 
@@ -68,9 +70,10 @@ def groups_of_equal_texts(documents: DataFrame, partitions: int | None = None) -
     """A row per distinct normalised text: digest (SHA-256), smallest and largest doc_id, copies."""
     normalised = text_frame(documents).select("doc_id", lower_ascii("text").cast("binary").alias("norm"))
     partial = mapped(normalised, merge_batch, PARTIAL)
+    by = (F.substring("norm", 1, SPLITTER_BYTES), F.col("digest"))
     # Without a count, Spark takes its shuffle partitions and merges small ones at run time.
-    dealt = partial.repartitionByRange(partitions, "norm") if partitions else partial.repartitionByRange("norm")
-    ordered = dealt.sortWithinPartitions("norm")
+    dealt = partial.repartitionByRange(partitions, *by) if partitions else partial.repartitionByRange(*by)
+    ordered = dealt.sortWithinPartitions(*by, "norm")
     return mapped(ordered, neighbours, "digest binary, smallest long, largest long, copies long")
 
 
