@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from .common import mapped, slices, text_frame
 
-CACHE_WORDS = 500_000  # words with their ids that a Python worker remembers; then it starts again with none
+CACHE_WORDS = 300_000  # words with their ids that a Python worker remembers; then it starts again with none
 TREE_LEAVES = 1 << 17  # leaves of the trees merged side by side
 MARKS = tuple(".,;:!?")
 NO_RANK = np.int64(1) << np.int64(40)

@@ -44,7 +44,7 @@ def text_frame(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of each take about `limit` bytes at most, or are one row."""
     for batch in batches:
         if not batch.num_rows:

@@ -29,6 +29,7 @@ PERCENT = 80
 HEAVY = 1 << 17  # n-grams whose frequency orders columns: those in most documents; it moves costs, not results
 HEAVY_FROM = 16  # documents
 MARK_BITS = 31
+BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met before the shuffle
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 
@@ -67,7 +68,7 @@ def keys_and_counts(docs: DataFrame, n: int) -> DataFrame:
     """A row for each document: size and key of its set. And rows (hash, documents): n-grams in several documents of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             sets = shingle_sets(batch, n)
             found, times = np.unique(np.concatenate(sets), return_counts=True)
             found, times = found[times > 1], times[times > 1]
@@ -95,7 +96,7 @@ def incidence(docs: DataFrame, heavy, n: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = heavy.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             sets = shingle_sets(batch, n)
             key1, key2 = set_keys(sets)
             seen, columns, docs, marks, hots = set(), [], [], [], []
