@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pitlake.functions.predicates import any_null
 from pitlake.functions.typing import malformed, tried
 from pitlake.sources.datasets import Dataset
+from pitlake.sources.landing import ABSENT
 
 BATCH = "partition_id"
 
@@ -20,6 +21,24 @@ def missing_columns(dataset: Dataset, landed: DataFrame) -> list[str]:
     return sorted(set(dataset.columns) - set(landed.columns))
 
 
+def missing_variants(dataset: Dataset, landed: DataFrame) -> DataFrame:
+    """How many of the declared request variants each batch lacks.
+
+    A batch without variant folders is one undivided answer and lacks none. A variant without a result
+    is landed as a row of NULLs, see ``empty_answer``.
+    """
+    known = F.when(F.col("variant").isin(list(dataset.variants)), F.col("variant"))
+    lacking = F.lit(len(dataset.variants)) - F.count_distinct(known)
+    return landed.groupBy(BATCH).agg(
+        F.when(F.count("variant") > 0, lacking).otherwise(0).alias("missing_variants")
+    )
+
+
+def empty_answer(dataset: Dataset) -> Column:
+    """A row without any value: the variant was asked for and has no rows."""
+    return F.coalesce(*dataset.columns).isNull()
+
+
 def null_counts(dataset: Dataset, landed: DataFrame) -> DataFrame:
     """Rows with a NULL in a required column, per batch."""
     return landed.groupBy(BATCH).agg(
@@ -63,10 +82,12 @@ def scope_counts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFr
     return scoped.groupBy(BATCH).agg(F.count_if(out_of_scope(dataset)).alias("foreign_rows"))
 
 
-def verdicts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFrame:
+def verdicts(
+    dataset: Dataset, landed: DataFrame, plan: DataFrame, variants: DataFrame | None = None
+) -> DataFrame:
     """Row count and first error of every planned partition; no error means it may be committed.
 
-    One pass over the landed rows: row checks are folded into the first aggregate, which also
+    ``variants`` is ``missing_variants`` where the landing is cut by variant. One pass over the landed rows: row checks are folded into the first aggregate, which also
     counts copies of the typed key. A typed key is at least as strict as the landed text, and
     grouping by partition and key spreads even a hot partition over all tasks.
     """
@@ -74,6 +95,9 @@ def verdicts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFrame:
     bad_text = F.lit(False)
     for field in dataset.schema:
         bad_text = bad_text | malformed(field)
+    absent = F.lit(False)
+    for name in dataset.columns:
+        absent = absent | F.col(name).eqNullSafe(ABSENT)
     blank = F.lit(False)
     for name in dataset.not_null:
         blank = blank | tried(dataset.schema[name]).isNull()
@@ -81,6 +105,7 @@ def verdicts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFrame:
     scoped = landed.join(plan.select(BATCH, "scope_key", "scope_from", "scope_to"), BATCH)
     keyed = scoped.groupBy(BATCH, *[c.alias(f"_key{i}") for i, c in enumerate(typed_key)]).agg(
         F.count(F.lit(1)).alias("copies"),
+        F.count_if(absent).alias("absent_rows"),
         F.count_if(any_null(dataset.not_null)).alias("null_rows"),
         F.count_if(out_of_scope(dataset)).alias("foreign_rows"),
         F.count_if(bad_text).alias("malformed_rows"),
@@ -90,11 +115,15 @@ def verdicts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFrame:
     counted = keyed.groupBy(BATCH).agg(
         F.sum("copies").alias("row_count"),
         F.sum(repeated).alias("duplicate_rows"),
-        *[F.sum(n).alias(n) for n in ("null_rows", "foreign_rows", "malformed_rows", "blank_rows")],
+        *[F.sum(n).alias(n) for n in ("absent_rows", "null_rows", "foreign_rows", "malformed_rows", "blank_rows")],
     )
     rows = plan.join(counted, BATCH, "left").withColumn(
         "row_count", F.coalesce("row_count", F.lit(0).cast("long"))
     )
+    if variants is None:
+        rows = rows.withColumn("missing_variants", F.lit(0))
+    else:
+        rows = rows.join(variants, BATCH, "left")
 
     def report(text: str, count: str) -> Column:
         return F.concat(F.lit(f"{dataset.id}: "), F.col(count).cast("string"), F.lit(f" {text}"))
@@ -102,6 +131,8 @@ def verdicts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFrame:
     empty = F.lit(f"{dataset.id}: empty batch")
     error = F.when((F.col("row_count") == 0) & F.lit(not dataset.allow_empty), empty)
     for count, text in (
+        ("absent_rows", "rows from files without a declared column"),
+        ("missing_variants", "request variants missing"),
         ("null_rows", "rows with NULL in a required column"),
         ("duplicate_rows", "rows with a repeated key"),
         ("foreign_rows", "rows outside the requested partition"),

@@ -22,7 +22,9 @@ from pitlake.functions.params import (
     required_range,
     yesterday,
 )
-from pitlake.operators.checks import BATCH, missing_columns, verdicts
+from pitlake.operators.checks import (
+    BATCH, empty_answer, missing_columns, missing_variants, verdicts,
+)
 from pitlake.plans import partitions
 from pitlake.plans.ledger import already_done, pending, sync_counts, sync_results
 from pitlake.sources.datasets import DATASETS, DEFAULT_INDEX_CODES, Dataset, get_dataset
@@ -157,13 +159,20 @@ class Synchronizer:
         lacking = missing_columns(dataset, landed)
         if lacking:
             raise ValueError(f"{dataset.id} lacks columns: {', '.join(lacking)}")
-        asked = landed.join(started.select(BATCH), BATCH, "left_semi")
+        # Ids are folder names: their range prunes the landing's folders, the join chooses among them.
+        ids = started.agg(F.min(BATCH).alias("low"), F.max(BATCH).alias("high")).first()
+        near = landed.where(F.col(BATCH).between(ids["low"], ids["high"]))
+        asked = near.join(started.select(BATCH), BATCH, "left_semi")
+        variants = None
+        if dataset.variants and "variant" in landed.columns:
+            variants = missing_variants(dataset, asked)
+            asked = asked.where(~empty_answer(dataset))
         received = drop_exact_copies(dataset, asked)
 
         # The verdicts decide what is written and what is committed, so they are kept as a table
         # and not computed twice.
         path = self.lake.path("meta", "verdicts", f"batch={batch}")
-        computed = verdicts(dataset, received, started)
+        computed = verdicts(dataset, received, started, variants)
         computed.write.parquet(path)
         checked = self.spark.read.schema(computed.schema).parquet(path)
         good = checked.where(F.col("error_message").isNull())

@@ -7,10 +7,14 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlake.functions.typing import typed
 from pitlake.sources.datasets import Dataset
 
+# What a declared column reads as in the rows of a file without it; NULL is a value that was landed.
+ABSENT = "<the file has no such column>"
+
 
 class Source(Protocol):
     """Where landed rows come from: all source columns as text, plus ``partition_id``."""
@@ -31,10 +35,23 @@ class LandingZone:
         self.file_format = file_format
 
     def read(self, dataset: Dataset) -> DataFrame:
-        reader = self.spark.read.format(self.file_format).option("header", "true")
+        """Declared columns by name. In Parquet and ORC a column that a file lacks reads as ``ABSENT``.
+
+        A JSON record may leave out what is NULL. CSV files take their columns from the header, which
+        has to be the same in all files of a dataset: otherwise the read fails.
+        """
+        path = f"{self.root}/{dataset.name}"
         folders = ["partition_id"] + (["variant"] if dataset.variants else [])
-        text = ", ".join(f"`{name}` string" for name in [*dataset.columns, *folders])
-        return reader.schema(text).load(f"{self.root}/{dataset.name}")
+        if self.file_format == "csv":
+            found = self.spark.read.options(header="true", enforceSchema="false").csv(path)
+            names = [name for name in [*dataset.columns, *folders] if name in found.columns]
+        else:
+            default = {key: f"'{ABSENT}'" for key in ("CURRENT_DEFAULT", "EXISTS_DEFAULT")}
+            declared = default if self.file_format in ("parquet", "orc") else {}
+            names = [*dataset.columns, *folders]
+            fields = [T.StructField(n, T.StringType(), True, {} if n in folders else declared) for n in names]
+            found = self.spark.read.format(self.file_format).schema(T.StructType(fields)).load(path)
+        return found.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in names])
 
 
 def variant_union(frames: Mapping[str, DataFrame]) -> DataFrame:

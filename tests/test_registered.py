@@ -1,4 +1,4 @@
-"""Every registered query against its SQL oracle."""
+"""Every registered query of the library against its SQL oracle; those of training data have their own tests."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

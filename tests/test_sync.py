@@ -499,6 +499,94 @@ def test_variants_of_one_request_are_one_partition(spark, landing):
     ]
 
 
+def test_a_missing_variant_keeps_the_whole_list(spark, landing):
+    dataset = DATASETS["stock_basic"]
+    text = ", ".join(f"`{c}` string" for c in [*dataset.columns, "partition_id", "variant"])
+
+    def put(*codes):
+        rows = [
+            tuple({"ts_code": code, "list_status": code and kind}.get(c) for c in dataset.columns) + ("full", kind)
+            for code, kind in codes
+        ]
+        spark.createDataFrame(rows, text).write.partitionBy("partition_id", "variant").parquet(f"{landing.path}/stock_basic")
+        return lake(spark, landing)
+
+    # No paused stock: a row of NULLs tells that the question was asked.
+    market = put(("north", "L"), ("south", "D"), (None, "P"))
+    assert market.sync("stock_basic").completed == 1
+    before = values(market.table("stock_basic").orderBy("ts_code"), "ts_code list_status")
+    assert before == [("north", "L"), ("south", "D")]
+    landing.generation += 1
+    market = put(("north", "L"), ("east", "L"))
+    with pytest.raises(SyncFailed, match="2 request variants missing"):
+        market.sync("stock_basic", refresh=True)
+    assert values(market.table("stock_basic").orderBy("ts_code"), "ts_code list_status") == before
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_files_without_a_column_fail_their_partition_alone(spark, landing, kind):
+    from pitlake.sources.landing import LandingZone
+
+    columns = DATASETS["index_daily"].columns
+    for day, names in ((D1, columns), (D2, [c for c in columns if c != "amount"]), (D3, columns[::-1])):
+        row = {"ts_code": "I", "trade_date": day.strftime("%Y%m%d"), "close": "7", "open": "6"}
+        text = ", ".join(f"`{c}` string" for c in names)
+        spark.createDataFrame([tuple(row.get(c) for c in names)], text).write.format(kind).save(
+            f"{landing.path}/index_daily/partition_id=trade_date%3D{day}"
+        )
+    market = MarketLake(spark, f"{landing.root}/lake", LandingZone(spark, landing.path, kind))
+    with pytest.raises(SyncFailed, match="1 rows from files without a declared column") as failed:
+        market.sync("index_daily", start=D1, end=D3)
+    assert values(failed.value.report.results, "partition_id status") == [
+        (f"trade_date={D1}", "SUCCESS"), (f"trade_date={D2}", "FAILED"), (f"trade_date={D3}", "SUCCESS"),
+    ]
+    rows = market.table("index_daily").orderBy("trade_date")
+    assert values(rows, "trade_date open close amount") == [(D1, 6.0, 7.0, None), (D3, 6.0, 7.0, None)]
+
+
+def test_csv_columns_go_by_their_header(spark, landing):
+    from pitlake.sources.landing import LandingZone
+
+    columns = DATASETS["index_daily"].columns
+
+    def put(day, names):
+        row = {"ts_code": "I", "trade_date": day.strftime("%Y%m%d"), "close": "7", "open": "6"}
+        text = ", ".join(f"`{c}` string" for c in names)
+        spark.createDataFrame([tuple(row.get(c) for c in names)], text).write.option("header", True).csv(
+            f"{landing.path}/index_daily/partition_id=trade_date%3D{day}"
+        )
+        return MarketLake(spark, f"{landing.root}/lake", LandingZone(spark, landing.path, "csv"))
+
+    market = put(D1, columns[::-1])
+    market.sync("index_daily", start=D1)
+    assert values(market.table("index_daily"), "trade_date open close") == [(D1, 6.0, 7.0)]
+    put(D2, columns)
+    with pytest.raises(SyncFailed):
+        market.sync("index_daily", start=D1, end=D2, refresh=True)
+    landing.generation += 1
+    market = put(D2, [c for c in columns if c != "amount"])
+    with pytest.raises(SyncFailed, match="lacks columns: amount"):
+        market.sync("index_daily", start=D2)
+    assert values(market.table("index_daily"), "trade_date open close") == [(D1, 6.0, 7.0)]
+
+
+def test_only_the_folders_of_the_planned_days_are_read(spark, landing, monkeypatch):
+    from pitlake.plans import sync
+
+    for day in (D1, D2, D3):
+        landing.day("index_daily", day, [("I", "1")])
+    seen, original = [], sync.verdicts
+
+    def spy(dataset, received, *rest):
+        seen.append(received)
+        return original(dataset, received, *rest)
+
+    monkeypatch.setattr(sync, "verdicts", spy)
+    lake(spark, landing).sync("index_daily", start=D2)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert f"trade_date={D2}" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
 def test_dates():
     from pitlake.functions.params import as_date, date_range, distinct_index_codes, index_code
 

@@ -612,3 +612,9 @@ oracle(
       if(day(trade_date) between 10 and 20 and day(trade_date) <> 13, close * 2, close) as close, vol
     from index_daily where day(trade_date) <> 12""",
 )
+oracle(
+    "sync_missing_column", "index_daily",
+    " select ts_code, trade_date, open, close, vol from index_daily where day(trade_date) % 7 <> 0",
+)
+oracle("sync_missing_variant", "stock_basic", " select ts_code, symbol, list_date, delist_date from stock_basic")
+oracle("sync_csv_by_name", "index_daily", " select ts_code, trade_date, open, close, vol from index_daily")

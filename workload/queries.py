@@ -18,6 +18,7 @@ from pitlake.plans.sync import (
     INDEX_DATED,
     INDEX_MASTERS,
     MASTERS,
+    SyncFailed,
     Synchronizer,
     update_plan,
 )
@@ -590,6 +591,59 @@ def partition_replace(t):
     return lake.table("index_daily").select("ts_code", "trade_date", "open", "close", "vol")
 
 
+def _sync_some(lake: Lake, zone: LandingZone, name: str, **options) -> None:
+    """A sync of which exactly some partitions are rejected."""
+    try:
+        Synchronizer(lake, zone).sync(name, **options)
+    except SyncFailed as rejected:
+        if rejected.report is None:
+            raise
+        return
+    raise AssertionError(f"{name}: no partition was rejected")
+
+
+@query
+def sync_missing_column(t):
+    """Files of every seventh day lack a column: those days are rejected, the others are committed."""
+    root, day = _work_dir(t.spark), F.to_date("trade_date", LANDED_DATE)
+    rows = as_text(t, "index_daily").withColumn("partition_id", F.concat(F.lit("trade_date="), day.cast("string")))
+    faulty = F.dayofmonth(day) % 7 == 0
+    for part in (rows.where(~faulty), rows.where(faulty).drop("amount")):
+        part.write.mode("append").partitionBy("partition_id").parquet(f"{root}/landing/index_daily")
+    lake = Lake(t.spark, f"{root}/lake")
+    _sync_some(lake, LandingZone(t.spark, f"{root}/landing"), "index_daily", start=date(2024, 1, 1), end=date(2024, 1, 30))
+    return lake.table("index_daily").select("ts_code", "trade_date", "open", "close", "vol")
+
+
+@query
+def sync_missing_variant(t):
+    """A list with all its request variants, one of them empty or not, then one without the last variant."""
+    root, dataset = _work_dir(t.spark), DATASETS["stock_basic"]
+    landed = as_text(t, "stock_basic").withColumn("partition_id", F.lit("full"))
+    asked = t.spark.createDataFrame([("full", v) for v in dataset.variants], "partition_id string, variant string")
+    whole = landed.withColumn("variant", F.col("list_status")).unionByName(asked, allowMissingColumns=True)
+    part = whole.where(F.col("variant") != dataset.variants[-1]).withColumn("symbol", F.lit("replaced"))
+    for generation, rows in (("first", whole), ("second", part)):
+        rows.write.partitionBy("partition_id", "variant").parquet(f"{root}/{generation}/stock_basic")
+    lake = Lake(t.spark, f"{root}/lake")
+    Synchronizer(lake, LandingZone(t.spark, f"{root}/first")).sync("stock_basic")
+    _sync_some(lake, LandingZone(t.spark, f"{root}/second"), "stock_basic", refresh=True)
+    return lake.table("stock_basic").select("ts_code", "symbol", "list_date", "delist_date")
+
+
+@query
+def sync_csv_by_name(t):
+    """CSV files whose columns stand in another order than the declared one."""
+    root, day = _work_dir(t.spark), F.to_date("trade_date", LANDED_DATE)
+    rows = as_text(t, "index_daily").withColumn("partition_id", F.concat(F.lit("trade_date="), day.cast("string")))
+    turned = rows.select(*reversed(DATASETS["index_daily"].columns), "partition_id")
+    turned.write.option("header", True).partitionBy("partition_id").csv(f"{root}/landing/index_daily")
+    lake = Lake(t.spark, f"{root}/lake")
+    zone = LandingZone(t.spark, f"{root}/landing", "csv")
+    Synchronizer(lake, zone).sync("index_daily", start=date(2024, 1, 1), end=date(2024, 1, 30))
+    return lake.table("index_daily").select("ts_code", "trade_date", "open", "close", "vol")
+
+
 # SQL surface
 
 
