@@ -7,7 +7,7 @@ leave too little overlap are discarded; for the others the overlap is counted in
 
 A column shared by m documents is not expanded into m * m pairs. Equal sets are one row first. Then each block of
 a column meets its smallest member alone; the links found give components. Rows outside a column's main
-component meet a few of its members, drawn anew in each turn, so that copies which the smallest member alone
+component meet a few more of its members, drawn by hash, so that copies which the smallest member alone
 doesn't reach join as well; and only pairs between components that are still different meet afterwards, those outside the
 main component against all. No link between components is lost, and a large group of copies costs about as
 many pairs as it has members.
@@ -32,8 +32,7 @@ HEAVY = 1 << 17  # n-grams whose frequency orders columns: those in most documen
 HEAVY_FROM = 16  # documents
 MARK_BITS = 31
 BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met before the shuffle
-LEADS = 6  # members of a column's main component that its other rows meet in a turn; it moves costs, not results
-PARTNERS = 4  # turns go on while a row would have more to meet than this in the mean; it moves costs, not results
+LEADS = 6  # members of a column's main component that its other rows meet before all of the column; it moves costs, not results
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 
@@ -259,21 +258,16 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
     shared = kept(mapped(cold, shared_entries, ENTRY).unionByName(warm))
     star = shared.where("hub <> doc_id").where(enough("", "hub_", percent)).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     first = verified(of_reps(star, rep_of), docs, n, percent)
-    links = first
-    split = divided(shared.select("column", "band", "doc_id", "size", "place"), links, rep_of)
-    turn, before = 0, None
-    # Turns change what is compared in the end, not what is found: they stop where that is little or no longer falls.
-    while turn == 0 or (left := to_compare(split)) > PARTNERS and (before is None or left < 0.9 * before):
-        before = left if turn else None
-        leads = split.where("label = main").groupBy("column", "band").agg(
-            *(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * LEADS + i)).alias("draw"), "doc_id", "size", "place")).alias(f"lead{i}") for i in range(LEADS))
-        )
-        leads = leads.select("column", "band", F.inline(F.array(*(f"lead{i}" for i in range(LEADS))))).drop("draw").distinct()
-        met = outside(split).join(leads, ["column", "band"]).where(enough("x_", "", percent))
-        links = links.unionByName(verified(of_reps(met.select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b")), rep_of), docs, n, percent))
-        # Components only grow, so a column that is of one stays so.
-        split = divided(split.drop("label", "main"), links, rep_of)
-        turn += 1
+    split = divided(shared.select("column", "band", "doc_id", "size", "place"), first, rep_of)
+    leads = split.where("label = main").groupBy("column", "band").agg(
+        *(F.min(F.struct(F.xxhash64("doc_id", F.lit(i)).alias("draw"), "doc_id", "size", "place")).alias(f"lead{i}") for i in range(LEADS))
+    )
+    leads = leads.select("column", "band", F.inline(F.array(*(f"lead{i}" for i in range(LEADS))))).drop("draw").distinct()
+    met = outside(split).join(leads, ["column", "band"]).where(enough("x_", "", percent))
+    met = met.select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
+    links = first.unionByName(verified(of_reps(met, rep_of), docs, n, percent))
+    # Components only grow, so a column that is of one stays so.
+    split = divided(split.drop("label", "main"), links, rep_of)
     second_pairs = (
         outside(split).join(split, ["column", "band"])
         .where("x_label <> label and (label = main or x_doc_id < doc_id)")
@@ -308,13 +302,6 @@ def divided(rows: DataFrame, links: DataFrame, rep_of: DataFrame) -> DataFrame:
     return kept(placed.join(main, "column"))
 
 
-def to_compare(split: DataFrame) -> float:
-    """Rows that a row meets in the mean if those outside a column's main component meet all of the column."""
-    sizes = split.groupBy("column").agg(F.count("*").alias("rows"), F.count_if(F.col("label") != F.col("main")).alias("outer"))
-    pairs, rows = sizes.agg(F.sum(F.col("rows").cast("double") * F.col("outer")), F.sum("rows")).first()
-    return pairs / rows if rows else 0.0
-
-
 def outside(split: DataFrame) -> DataFrame:
     """The rows outside their column's main component, once for each band in which they can have a partner."""
     return split.where("label <> main").select(
