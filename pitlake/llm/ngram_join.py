@@ -259,15 +259,16 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
     star = shared.where("hub <> doc_id").where(enough("", "hub_", percent)).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     first = verified(of_reps(star, rep_of), docs, n, percent)
     split = divided(shared.select("column", "band", "doc_id", "size", "place"), first, rep_of)
-    leads = split.where("label = main").groupBy("column", "band").agg(
+    wide = split.where(F.col("members") > LEADS)  # in the others, all of the column is as little
+    leads = wide.where("label = main").groupBy("column", "band").agg(
         *(F.min(F.struct(F.xxhash64("doc_id", F.lit(i)).alias("draw"), "doc_id", "size", "place")).alias(f"lead{i}") for i in range(LEADS))
     )
     leads = leads.select("column", "band", F.inline(F.array(*(f"lead{i}" for i in range(LEADS))))).drop("draw").distinct()
-    met = outside(split).join(leads, ["column", "band"]).where(enough("x_", "", percent))
+    met = outside(wide).join(leads, ["column", "band"]).where(enough("x_", "", percent))
     met = met.select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
     links = first.unionByName(verified(of_reps(met, rep_of), docs, n, percent))
     # Components only grow, so a column that is of one stays so.
-    split = divided(split.drop("label", "main"), links, rep_of)
+    split = divided(split.drop("label", "main", "members"), links, rep_of)
     second_pairs = (
         outside(split).join(split, ["column", "band"])
         .where("x_label <> label and (label = main or x_doc_id < doc_id)")
@@ -290,14 +291,14 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
 
 def divided(rows: DataFrame, links: DataFrame, rep_of: DataFrame) -> DataFrame:
-    """The rows of columns that hold several components, each with its component and the one of most rows (main)."""
+    """The rows of columns that hold several components, each with its component, the one of most rows (main) and the column's rows (members)."""
     label = components(links).withColumnRenamed("node", "rep")
     label = rep_of.join(label, "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("label"))
     placed = kept(rows.join(label, "doc_id"))
     main = (
         placed.groupBy("column", "label").agg(F.count("*").alias("rows"))
-        .groupBy("column").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("labels"))
-        .where("labels > 1").select("column", "main")
+        .groupBy("column").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("labels"), F.sum("rows").alias("members"))
+        .where("labels > 1").select("column", "main", "members")
     )
     return kept(placed.join(main, "column"))
 
