@@ -147,9 +147,9 @@ def fields(rows: list[np.ndarray], left: np.ndarray, matrix: np.ndarray) -> np.n
     return covered
 
 
-def refine(gram: list, doc: list, place: list, left: list, around: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, end) of covered stretches, of grams with several surroundings."""
-    gram, doc, place, left = (np.array(x, np.int64) for x in (gram, doc, place, left))
+def refine(gram: list, doc: list, place: list, left: list, around: list, until: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, start, end) of covered stretches, of grams with several surroundings; each row stands at places from place until `until`."""
+    gram, doc, place, left, until = (np.array(x, np.int64) for x in (gram, doc, place, left, until))
     matrix = np.zeros((len(gram), WINDOW + REACH), np.uint8)
     length = np.array([len(x) for x in around], np.int64)
     column = np.repeat(REACH - left, length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
@@ -160,17 +160,19 @@ def refine(gram: list, doc: list, place: list, left: list, around: list) -> tupl
     edge = np.diff(np.pad(covered, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     row, first = np.nonzero(edge == 1)
     _, last = np.nonzero(edge == -1)
-    return doc[row], place[row] - REACH + first, place[row] - REACH + last - 1 + WINDOW
+    return doc[row], place[row] - REACH + first, until[row] - REACH + last - 1 + WINDOW
 
 
 def scan_surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by gram, surroundings and doc: covered stretches.
+    """Rows sorted by gram, surroundings, doc and place: covered stretches.
 
     Rows equal in all to one of a smaller document are covered as far as the bytes reach. Of the others, those
     that share a gram are held together and refined; past GROUP_ROWS of one gram they are passed on instead.
+    Equal rows of the smallest document itself are one as long as they follow within WINDOW bytes: what is covered
+    at each of the places then joins to one stretch.
     """
-    block: list[list] = [[], [], [], [], []]  # of finished grams
-    own: list[list] = [[], [], [], [], []]  # of the gram being read
+    block: list[list] = [[], [], [], [], [], []]  # of finished grams
+    own: list[list] = [[], [], [], [], [], []]  # of the gram being read; the last list has the row's last place
     last, passing = None, False
     smallest = 0
 
@@ -182,45 +184,51 @@ def scan_surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
     def passed(rows: list[list]) -> pa.RecordBatch:
-        gram, doc, place, left, around = rows
+        gram, doc, place, left, around, until = rows
         return pa.record_batch(
-            [pa.array(doc, pa.int64()), pa.array(place, pa.int64()), pa.nulls(len(doc), pa.int64()), pa.array(gram, pa.int64()), pa.array(left, pa.int32()), pa.array(around, pa.binary())],
+            [pa.array(doc, pa.int64()), pa.array(place, pa.int64()), pa.array(until, pa.int64()), pa.array(gram, pa.int64()), pa.array(left, pa.int32()), pa.array(around, pa.binary())],
             names=["doc_id", "start", "end", "gram", "before", "around"],
         )
 
+    def several() -> bool:
+        """The gram being read has several surroundings; the last row read is of the last."""
+        return bool(own[0]) and (own[3][0], own[4][0]) != last[1:]
+
     for batch in batches:
         done: list[list] = [[], [], []]
         for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "doc_id", "place", "before", "around")), strict=True):
             gram, doc, place, left, around = row
             key = (gram, left, around)
-            if key == last:
-                if doc > smallest and len(around) >= WINDOW:
+            if key == last and doc > smallest:
+                if len(around) >= WINDOW:
                     done[0].append(doc)
                     done[1].append(place - left)
                     done[2].append(place - left + len(around))
                 continue
+            if key == last and own[0] and place - own[5][-1] <= WINDOW:
+                own[5][-1] = place
+                continue
             if last is None or gram != last[0]:
                 if passing:
                     yield passed(own)
-                    own, passing = [[], [], [], [], []], False
-                if len(own[0]) > 1:
+                elif several():
                     for x, y in zip(block, own, strict=True):
                         x.extend(y)
-                own = [[], [], [], [], []]
+                own, passing = [[], [], [], [], [], []], False
                 if len(block[0]) >= GROUP_ROWS:
                     yield stretches(*refine(*block))
-                    block = [[], [], [], [], []]
-            for x, y in zip(own, row, strict=True):
+                    block = [[], [], [], [], [], []]
+            for x, y in zip(own, (*row, place), strict=True):
                 x.append(y)
             if len(own[0]) >= GROUP_ROWS:
                 yield passed(own)
-                own, passing = [[], [], [], [], []], True
+                own, passing = [[], [], [], [], [], []], True
             last, smallest = key, doc
         if done[0]:
             yield stretches(*done)
     if passing:
         yield passed(own)
-    elif len(own[0]) > 1:
+    elif several():
         for x, y in zip(block, own, strict=True):
             x.extend(y)
     if block[0]:
@@ -229,13 +237,13 @@ def scan_surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
-        for doc, place, gram, left, around in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "gram", "before", "around")), strict=True):
+        out: list[list] = [[], [], [], [], [], []]
+        for doc, place, until, gram, left, around in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "end", "gram", "before", "around")), strict=True):
             for at in range(len(around) - WINDOW + 1):
-                for x, y in zip(out, (gram, at - left, around[at : at + WINDOW], doc, place - left + at), strict=True):
+                for x, y in zip(out, (gram, at - left, around[at : at + WINDOW], doc, place - left + at, until - left + at + WINDOW), strict=True):
                     x.append(y)
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["gram", "shift", "window", "doc_id", "start"])
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["gram", "shift", "window", "doc_id", "start", "end"])
 
 
 def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,13 +284,13 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     candidates = mapped(grams, repeated, "gram long, doc_id long").join(copies.select("doc_id"), "doc_id", "left_anti")
     lists = kept(candidates.groupBy("doc_id").agg(F.collect_list("gram").alias("grams")))
     around = mapped(docs.join(lists, "doc_id"), emit_surroundings, SURROUNDINGS)
-    ordered = around.repartition("gram").sortWithinPartitions("gram", "before", "around", "doc_id")
+    ordered = around.repartition("gram").sortWithinPartitions("gram", "before", "around", "doc_id", "place")
     found = kept(mapped(ordered, scan_surroundings, FOUND))
     # Grams with very many surroundings: their windows as rows, minima before the shuffle, joins that can be split.
-    windows = mapped(found.where("around is not null").drop("end"), emit_windows, "gram long, shift long, window binary, doc_id long, start long")
+    windows = mapped(found.where("around is not null"), emit_windows, "gram long, shift long, window binary, doc_id long, start long, end long")
     key = ["gram", "shift", "window"]
     least = windows.groupBy(*key).agg(F.min("doc_id").alias("least"))
-    many = windows.join(least, key).where("doc_id > least").select("doc_id", "start", (F.col("start") + WINDOW).alias("end"))
+    many = windows.join(least, key).where("doc_id > least").select("doc_id", "start", "end")
     return copies.unionByName(found.where("around is null").select("doc_id", "start", "end")).unionByName(many)
 
 

@@ -149,6 +149,21 @@ def test_repeats_at_all_offsets(spark, monkeypatch, group_rows):
     assert rows_of(suffix_dedup.remove_repeats(frame(spark, rows)), *SPAN_FIELDS) == brute_spans(rows)
 
 
+@pytest.mark.parametrize("group_rows", [50_000, 3])
+def test_a_passage_that_stands_twice_in_one_document(spark, monkeypatch, group_rows):
+    """Its surroundings are the same at both places, and others than in the smaller document."""
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", group_rows)
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    rows = []
+    for i in range(0, 40, 4):
+        passage, x, y = letters(60), letters(45), letters(45)
+        rows += [(i, letters(45) + passage + letters(45)), (i + 1, (x + passage + y) * 2), (i + 2, (y + passage + x) * 3 + letters(9))]
+        rows += [(i + 3, passage[5:] + letters(50) + passage[:57])]
+    rows += [(100, "q" * 49 + "é" + "z" * 60), (101, "p" + "z" * 55 + "p" + letters(90) + "z" * 400), (102, "ab" * 30 + "c"), (103, "d" + "ab" * 90)]
+    assert rows_of(suffix_dedup.remove_repeats(frame(spark, rows)), *SPAN_FIELDS) == brute_spans(rows)
+
+
 def brute_hits(texts, items, window=10):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     out = []
