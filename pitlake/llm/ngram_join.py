@@ -11,6 +11,9 @@ component meet a few more of its members, drawn by hash, so that copies which th
 doesn't reach join as well; and only pairs between components that are still different meet afterwards, those outside the
 main component against all. No link between components is lost, and a large group of copies costs about as
 many pairs as it has members.
+
+Components need some of the links only. All of them lie within components: for these, a component's distinct sets are dealt
+into parts, each two parts meet in a tile, and there the overlaps of all their pairs are added up column by column.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ HEAVY = 1 << 17  # n-grams whose frequency orders columns: those in most documen
 HEAVY_FROM = 16  # documents
 MARK_BITS = 31
 BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met before the shuffle
+TILE, TILE_BYTES = 256, 8 << 20  # documents and text in one part of a component
+TILE_COLUMNS = 4096  # columns added up at once
 LEADS = 6  # members of a column's main component that its other rows meet before all of the column; it moves costs, not results
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
@@ -213,17 +218,124 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
 
 def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every document.
+    """doc_id, n_shingles, component_id of every document.
 
     Two documents link when their sets of n-grams of lower-cased (A-Z) words have a Jaccard similarity
-    of percent / 100 or more; component_id is the smallest doc_id that links reach. n_links counts the verified links of the
-    document's set to other sets, which join the components; copies of one set aren't expanded into pairs.
+    of percent / 100 or more; component_id is the smallest doc_id that links reach.
 
     Null and empty texts have no n-grams and link with nothing; a text of under n words is one n-gram. A
     repeated doc_id gets a row for each of its rows; a link of any of its texts is its link. Rows without a
     doc_id are left out, other columns ignored; an empty table gives an empty one. n-grams are compared by
     64-bit hashes.
     """
+    _, rows, rep_of, label = connected(documents, n, percent)
+    return with_components(rows, rep_of, label, None)
+
+
+def jaccard_join(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """jaccard_groups with n_links: how many other sets, each known by its smallest document, link with the document's.
+
+    Every link is verified and counted; copies of one set aren't expanded into pairs.
+    """
+    docs, rows, rep_of, label = connected(documents, n, percent)
+    degree = tiled(docs, label, n, percent, True).groupBy("rep").agg(F.sum("n_links").alias("n_links"))
+    return with_components(rows, rep_of, label, degree)
+
+
+def jaccard_links(documents: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """a, b: every link between distinct sets, each known by its smallest document, the smaller first."""
+    docs, _, _, label = connected(documents, n, percent)
+    return tiled(docs, label, n, percent, False)
+
+
+def with_components(rows: DataFrame, rep_of: DataFrame, label: DataFrame, degree: DataFrame | None) -> DataFrame:
+    none = F.lit(0).cast("long")
+    of_class = rep_of.join(label.withColumnRenamed("node", "rep"), "rep", "left")
+    of_class = of_class.withColumn("n_links", none) if degree is None else of_class.join(degree, "rep", "left")
+    grouped = of_class.groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("component"), F.max("n_links").alias("links"))
+    found = rows.join(grouped, "doc_id", "left").select(
+        "doc_id",
+        F.col("size").alias("n_shingles"),
+        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("links", none).alias("n_links"),
+    )
+    return found.drop("n_links") if degree is None else found
+
+
+def tile_links(ids: np.ndarray, part: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) between documents of the tile's two parts, or within its only one; sorted by part."""
+    sizes = np.array([len(s) for s in sets])
+    cut = int(np.searchsorted(part, part[0], "right"))
+    left, right = (slice(0, cut), slice(cut, None)) if cut < len(ids) else (slice(None), slice(None))
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    row, column = row[shared[column]], place[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(ids[left]), len(ids[right])), np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, TILE_COLUMNS):
+        a, b = np.searchsorted(column, (low, low + TILE_COLUMNS))
+        matrix = np.zeros((len(sets), min(TILE_COLUMNS, int(column[-1]) + 1 - low)), np.float32)
+        matrix[row[a:b], column[a:b] - low] = 1
+        common += (matrix[left] @ matrix[right].T).astype(np.int64)
+    total = sizes[left][:, None] + sizes[right][None, :] - common
+    links = (100 * common >= percent * total) & (common < total)  # equal sets are one, whatever texts a repeated doc_id has
+    if left == right:
+        links = np.triu(links, 1)
+    x, y = np.nonzero(links)
+    x, y = ids[left][x], ids[right][y]
+    a, b = np.minimum(x, y)[x != y], np.maximum(x, y)[x != y]
+    if len(np.unique(ids)) < len(ids) and len(a):
+        a, b = np.unique(np.stack((a, b)), axis=1)
+    return a, b
+
+
+def tiled(docs: DataFrame, label: DataFrame, n: int, percent: int, count: bool) -> DataFrame:
+    """All links (a, b) of the labelled documents, or with `count` rows (rep, n_links) to be added up.
+
+    The documents of a component are dealt by hash into parts; each two parts are a tile, so that a large component is
+    many tasks' work and a text moves once for each part, not for each pair.
+    """
+    node = label.withColumnRenamed("node", "doc_id")
+    of_text = docs.select("doc_id", F.octet_length("text").alias("bytes")).join(node, "doc_id")
+    parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("bytes") / TILE_BYTES), F.lit(1)).cast("int")
+    part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+    needed = node.join(of_text.groupBy("label").agg(parts.alias("parts")), "label").withColumn("part", part)
+    needed = needed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    needed = needed.select("doc_id", "label", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    rows = mapped(docs, packed, "doc_id long, body binary, bytes long").hint("merge").join(needed, "doc_id")
+    rows = rows.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "part", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, tile, ids, part, sets = pa.Codec("zstd"), None, [], [], []
+
+        def finished() -> pa.RecordBatch:
+            a, b = tile_links(np.array(ids, np.int64), np.array(part), sets, percent) if len(ids) > 1 else ([], [])
+            if count:
+                a, b = np.unique(np.concatenate((a, b)).astype(np.int64), return_counts=True)
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["rep", "n_links"] if count else ["a", "b"])
+
+        for whole in batches:
+            for batch in slices([whole], "body", 2 << 20):
+                bodies = zip(batch.column("body"), batch.column("bytes").to_pylist(), strict=True)
+                texts = pa.array([codec.decompress(x.as_buffer(), size, asbytes=True) for x, size in bodies], pa.large_binary())
+                made = shingle_sets(pa.record_batch([texts], names=["text"]), n)
+                for *key, doc, p, own in zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "doc_id", "part")), made, strict=True):
+                    if key != tile:
+                        yield finished()
+                        tile, ids, part, sets = key, [], [], []
+                    ids.append(doc)
+                    part.append(p)
+                    sets.append(own)
+        yield finished()
+
+    return mapped(rows, run, "rep long, n_links long" if count else "a long, b long")
+
+
+def connected(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts; a row for each document with its set's size; doc_id and rep, the smallest document of its set; node and label of every linked rep."""
     if not 50 < percent <= 100 or n < 1:
         raise ValueError("percent is over 50 and at most 100, n is 1 or more")
     spark = documents.sparkSession
@@ -276,18 +388,7 @@ def jaccard_groups(documents: DataFrame, n: int = WORDS, percent: int = PERCENT)
         .select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
     )
     links = links.unionByName(verified(of_reps(second_pairs, rep_of), docs, n, percent))
-    label = components(links)
-    degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    of_class = label.withColumnRenamed("node", "rep").join(degree, "rep", "full").select("rep", "label", "n_links")
-    grouped = rep_of.join(of_class, "rep", "left").groupBy("doc_id").agg(
-        F.min(F.coalesce("label", "rep")).alias("component"), F.max(F.coalesce("n_links", F.lit(0).cast("long"))).alias("links")
-    )
-    return rows.join(grouped, "doc_id", "left").select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
-    )
+    return docs, rows, rep_of, components(links)
 
 
 def divided(rows: DataFrame, links: DataFrame, rep_of: DataFrame) -> DataFrame:

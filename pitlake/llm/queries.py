@@ -18,7 +18,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_groups(read(spark, sf_dir, "documents")).drop("n_links")
+    return ngram_join.jaccard_groups(read(spark, sf_dir, "documents"))
+
+
+def op1_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1_ngram_join, whose SQL has no such column, with the number of links of every document."""
+    return ngram_join.jaccard_join(read(spark, sf_dir, "documents"))
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op1_ngram_links": op1_ngram_links,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,

@@ -105,6 +105,27 @@ def test_frequent_columns_take_the_split_path(spark, monkeypatch):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+@pytest.mark.parametrize("tile", [256, 3])
+def test_all_links_between_distinct_sets(spark, monkeypatch, tile):
+    """Also those between texts that one component holds already: A-B, A-C and B-C."""
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([*base, "a"])), (2, " ".join([*base, "b"])), (3, " ".join([*base, "c"])), (4, " ".join([*base, "c"])), (5, None)]
+    rows += [(10 + k, " ".join(["x"] + base[3 * k :] + [f"y{k}_{j}" for j in range(3 * k)])) for k in range(12)]
+    rows += [(40 + k, " ".join([f"z{i}" for i in range(30)] + [f"end{k % 4}"])) for k in range(9)] + [(60, "one two"), (61, "ONE two")]
+    sets = {}
+    for i, text in rows:
+        words = (text or "").lower().split()
+        sets.setdefault(frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4)) if words), []).append(i)
+    sets.pop(frozenset())
+    linked = [(x, y) for x in sets for y in sets if x != y and 100 * len(x & y) >= 80 * len(x | y)]
+    assert rows_of(ngram_join.jaccard_links(frame(spark, rows)), "a", "b") == sorted((sets[x][0], sets[y][0]) for x, y in linked if sets[x][0] < sets[y][0])
+    degrees = {i: sum(a == x for a, _ in linked) for x in sets for i in sets[x]}
+    found = ngram_join.jaccard_join(frame(spark, rows))
+    assert rows_of(found, "doc_id", "n_links") == sorted((i, degrees.get(i, 0)) for i, _ in rows)
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (2000, 1500)], "a long, b long")
     found = dict(rows_of(components(links), "node", "label"))
