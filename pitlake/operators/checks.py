@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pitlake.functions.predicates import any_null
 from pitlake.functions.typing import malformed, tried
+from pitlake.operators.pages import REQUEST, keys_on_many_pages, page_audit, page_rows
 from pitlake.sources.datasets import Dataset
 from pitlake.sources.landing import ABSENT
 
@@ -39,6 +40,33 @@ def empty_answer(dataset: Dataset) -> Column:
     return F.coalesce(*dataset.columns).isNull()
 
 
+def page_faults(dataset: Dataset, manifest: DataFrame, landed: DataFrame) -> DataFrame:
+    """Per batch, requests whose pages are not all there and rows on pages that the manifest doesn't list.
+
+    Landed files keep no order of rows, so a page is known by its least row. A batch that has neither listed
+    nor numbered pages came undivided and has no faults.
+    """
+    def request(rows: DataFrame) -> list[Column]:
+        variant = F.col("variant").cast("string") if "variant" in rows.columns else F.lit(None).cast("string")
+        return [F.col(BATCH).cast("string").alias(BATCH), F.coalesce(variant, F.lit("")).alias("variant"), F.col("page").cast("int").alias("page")]
+
+    listed = manifest.select(
+        *request(manifest),
+        F.coalesce(F.col("page_offset").cast("long"), F.lit(-1)).alias("page_offset"),
+        F.coalesce("has_columns", F.lit(False)).alias("has_columns"),
+    ).distinct()
+    rows = landed.select(*request(landed), *dataset.columns)
+    pages = page_rows(rows, dataset.columns, dataset.columns)
+    repeated = keys_on_many_pages(rows, dataset.key)
+    if dataset.drop_exact_copies or not dataset.key:
+        repeated = repeated.limit(0)
+    requests = page_audit(listed, pages, repeated).groupBy(BATCH).agg(F.count_if(~F.col("complete")).alias("bad_requests"))
+    asked = listed.select(BATCH).distinct().withColumn("listed", F.lit(True))
+    stray = pages.join(asked, BATCH, "left").where("listed or page is not null")
+    stray = stray.join(listed, [*REQUEST, "page"], "left_anti").groupBy(BATCH).agg(F.sum("n").alias("unlisted_rows"))
+    return requests.join(stray, BATCH, "full")
+
+
 def null_counts(dataset: Dataset, landed: DataFrame) -> DataFrame:
     """Rows with a NULL in a required column, per batch."""
     return landed.groupBy(BATCH).agg(
@@ -83,11 +111,13 @@ def scope_counts(dataset: Dataset, landed: DataFrame, plan: DataFrame) -> DataFr
 
 
 def verdicts(
-    dataset: Dataset, landed: DataFrame, plan: DataFrame, variants: DataFrame | None = None
+    dataset: Dataset, landed: DataFrame, plan: DataFrame, variants: DataFrame | None = None,
+    paged: DataFrame | None = None,
 ) -> DataFrame:
     """Row count and first error of every planned partition; no error means it may be committed.
 
-    ``variants`` is ``missing_variants`` where the landing is cut by variant. One pass over the landed rows: row checks are folded into the first aggregate, which also
+    ``variants`` is ``missing_variants`` where the landing is cut by variant, ``paged`` is ``page_faults`` where
+    it has a page manifest. One pass over the landed rows: row checks are folded into the first aggregate, which also
     counts copies of the typed key. A typed key is at least as strict as the landed text, and
     grouping by partition and key spreads even a hot partition over all tasks.
     """
@@ -124,6 +154,10 @@ def verdicts(
         rows = rows.withColumn("missing_variants", F.lit(0))
     else:
         rows = rows.join(variants, BATCH, "left")
+    if paged is None:
+        rows = rows.withColumns({"bad_requests": F.lit(0), "unlisted_rows": F.lit(0)})
+    else:
+        rows = rows.join(paged, BATCH, "left")
 
     def report(text: str, count: str) -> Column:
         return F.concat(F.lit(f"{dataset.id}: "), F.col(count).cast("string"), F.lit(f" {text}"))
@@ -133,6 +167,8 @@ def verdicts(
     for count, text in (
         ("absent_rows", "rows from files without a declared column"),
         ("missing_variants", "request variants missing"),
+        ("bad_requests", "requests with missing or faulty pages"),
+        ("unlisted_rows", "rows on pages that the manifest lacks"),
         ("null_rows", "rows with NULL in a required column"),
         ("duplicate_rows", "rows with a repeated key"),
         ("foreign_rows", "rows outside the requested partition"),

@@ -23,7 +23,7 @@ from pitlake.functions.params import (
     yesterday,
 )
 from pitlake.operators.checks import (
-    BATCH, empty_answer, missing_columns, missing_variants, verdicts,
+    BATCH, empty_answer, missing_columns, missing_variants, page_faults, verdicts,
 )
 from pitlake.plans import partitions
 from pitlake.plans.ledger import already_done, pending, sync_counts, sync_results
@@ -167,12 +167,20 @@ class Synchronizer:
         if dataset.variants and "variant" in landed.columns:
             variants = missing_variants(dataset, asked)
             asked = asked.where(~empty_answer(dataset))
+        # A source without a manifest came undivided; listed pages are checked before exact copies go.
+        manifest = self.landing.manifest(dataset) if hasattr(self.landing, "manifest") else None
+        paged = None
+        if manifest is not None:
+            if "page" not in asked.columns:
+                asked = asked.withColumn("page", F.lit(None).cast("int"))
+            listed = manifest.join(started.select(BATCH), BATCH, "left_semi")
+            paged = page_faults(dataset, listed, asked)
         received = drop_exact_copies(dataset, asked)
 
         # The verdicts decide what is written and what is committed, so they are kept as a table
         # and not computed twice.
         path = self.lake.path("meta", "verdicts", f"batch={batch}")
-        computed = verdicts(dataset, received, started, variants)
+        computed = verdicts(dataset, received, started, variants, paged)
         computed.write.parquet(path)
         checked = self.spark.read.schema(computed.schema).parquet(path)
         good = checked.where(F.col("error_message").isNull())

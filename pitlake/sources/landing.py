@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +24,11 @@ class Source(Protocol):
 
 
 class LandingZone:
-    """Text files under ``<root>/<dataset>/partition_id=<id>/[variant=<v>/]``.
+    """Text files under ``<root>/<dataset>/partition_id=<id>/[variant=<v>/][page=<n>/]``.
 
     All columns are text; Spark finds ``partition_id`` (and ``variant``) from the folders. A planned
-    partition with no folder is an empty batch.
+    partition with no folder is an empty batch. Requests that came in pages are listed, page by page, in Parquet
+    files under ``<root>/_pages/<dataset>``.
     """
 
     def __init__(self, spark: SparkSession, root: str, file_format: str = "parquet") -> None:
@@ -34,6 +36,15 @@ class LandingZone:
         self.root = root.rstrip("/")
         self.file_format = file_format
 
+    def manifest(self, dataset: Dataset) -> DataFrame | None:
+        """The pages that were asked for, see ``operators.pages.page_audit``; None where no list was landed."""
+        try:
+            return self.spark.read.parquet(f"{self.root}/_pages/{dataset.name}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def read(self, dataset: Dataset) -> DataFrame:
         """Declared columns by name. In Parquet and ORC a column that a file lacks reads as ``ABSENT``.
 
@@ -41,7 +52,8 @@ class LandingZone:
         has to be the same in all files of a dataset: otherwise the read fails.
         """
         path = f"{self.root}/{dataset.name}"
-        folders = ["partition_id"] + (["variant"] if dataset.variants else [])
+        paged = self.manifest(dataset) is not None
+        folders = ["partition_id"] + (["variant"] if dataset.variants else []) + (["page"] if paged else [])
         if self.file_format == "csv":
             found = self.spark.read.options(header="true", enforceSchema="false").csv(path)
             names = [name for name in [*dataset.columns, *folders] if name in found.columns]

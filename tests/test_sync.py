@@ -544,6 +544,32 @@ def test_files_without_a_column_fail_their_partition_alone(spark, landing, kind)
     assert values(rows, "trade_date open close amount") == [(D1, 6.0, 7.0, None), (D3, 6.0, 7.0, None)]
 
 
+def test_partitions_with_faulty_pages_are_rejected_alone(spark, landing):
+    days = [date(2024, 1, n) for n in range(1, 8)]
+    good = [("A", 0), ("B", 0), ("C", 1)]
+    # Whole; stopped early; an offset skipped; stood still; a page not listed; nothing listed, one page; neither.
+    landed = [good, good, good, [("A", 0), ("B", 0), ("A", 1), ("B", 1)], [*good, ("D", 7)], good, [("A", None)]]
+    offsets = [[0, 2, 3], [0, 2], [0, 3, 4], [0, 2, 4], [0, 2, 3], [], []]
+    columns = DATASETS["index_daily"].columns
+    text = ", ".join(f"`{c}` string" for c in columns)
+    listed = []
+    for day, rows, found in zip(days, landed, offsets, strict=True):
+        listed += [(f"trade_date={day}", page, offset, True) for page, offset in enumerate(found)]
+        for page in {page for _, page in rows}:
+            full = [tuple({"ts_code": code, "trade_date": day.strftime("%Y%m%d")}.get(c) for c in columns) for code, p in rows if p == page]
+            number = "__HIVE_DEFAULT_PARTITION__" if page is None else page
+            spark.createDataFrame(full, text).write.parquet(f"{landing.path}/index_daily/partition_id=trade_date%3D{day}/page={number}")
+    spark.createDataFrame(listed, "partition_id string, page int, page_offset long, has_columns boolean").write.parquet(
+        f"{landing.path}/_pages/index_daily"
+    )
+    market = lake(spark, landing)
+    with pytest.raises(SyncFailed, match="pages") as failed:
+        market.sync("index_daily", start=days[0], end=days[-1])
+    found = [status for _, status in values(failed.value.report.results, "partition_id status")]
+    assert found == ["SUCCESS", "FAILED", "FAILED", "FAILED", "FAILED", "FAILED", "SUCCESS"]
+    assert market.table("index_daily").count() == 4
+
+
 def test_csv_columns_go_by_their_header(spark, landing):
     from pitlake.sources.landing import LandingZone
 

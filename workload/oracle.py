@@ -617,4 +617,9 @@ oracle(
     " select ts_code, trade_date, open, close, vol from index_daily where day(trade_date) % 7 <> 0",
 )
 oracle("sync_missing_variant", "stock_basic", " select ts_code, symbol, list_date, delist_date from stock_basic")
+oracle(
+    "sync_bad_pages", "index_daily",
+    """ select ts_code, trade_date, open, close, vol from index_daily
+    where day(trade_date) % 7 <> 0 and day(trade_date) % 11 <> 0 and day(trade_date) % 13 <> 0""",
+)
 oracle("sync_csv_by_name", "index_daily", " select ts_code, trade_date, open, close, vol from index_daily")

@@ -631,6 +631,29 @@ def sync_missing_variant(t):
     return lake.table("stock_basic").select("ts_code", "symbol", "list_date", "delist_date")
 
 
+@query
+def sync_bad_pages(t):
+    """Days in three pages and an empty last one: some stop early, skip an offset or stand still and are rejected."""
+    root, day = _work_dir(t.spark), F.to_date("trade_date", LANDED_DATE)
+    rows = as_text(t, "index_daily").withColumn("partition_id", F.concat(F.lit("trade_date="), day.cast("string")))
+    rows = rows.withColumn("page", F.pmod(F.xxhash64("ts_code"), F.lit(3)).cast("int"))
+    number = F.dayofmonth(F.to_date(F.substring_index("partition_id", "=", -1)))
+    days = rows.select("partition_id").distinct()
+    sizes = rows.groupBy("partition_id", "page").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("partition_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    asked = days.select("partition_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("page"))
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0)) + F.when((number % 11 == 0) & (F.col("page") == 2), 1).otherwise(0)
+    manifest = asked.join(sizes, ["partition_id", "page"], "left").select(
+        "partition_id", "page", offset.alias("page_offset"), F.lit(True).alias("has_columns")
+    ).where((F.col("page") < 3) | (number % 7 != 0))
+    landed = rows.unionByName(rows.where(number % 13 == 0).withColumn("page", F.col("page") + 1))
+    landed.write.partitionBy("partition_id", "page").parquet(f"{root}/landing/index_daily")
+    manifest.write.parquet(f"{root}/landing/_pages/index_daily")
+    lake = Lake(t.spark, f"{root}/lake")
+    _sync_some(lake, LandingZone(t.spark, f"{root}/landing"), "index_daily", start=date(2024, 1, 1), end=date(2024, 1, 30))
+    return lake.table("index_daily").select("ts_code", "trade_date", "open", "close", "vol")
+
+
 @query
 def sync_csv_by_name(t):
     """CSV files whose columns stand in another order than the declared one."""
