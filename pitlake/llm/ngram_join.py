@@ -1,6 +1,6 @@
-"""Jaccard join of documents on word n-grams, as a blocked sparse product of document by n-gram incidence.
+"""Jaccard join of documents on word n-grams: candidates from shared rare n-grams, each pair verified on its texts.
 
-Sizes bound the product from the start. Every document's n-grams are put into one order, rare ones first,
+Sizes bound the candidates from the start. Every document's n-grams are put into one order, rare ones first,
 and only its first columns enter: of n n-grams, so many that two documents of the wanted similarity must
 share one. Within a column, rows meet in blocks of like size; pairs whose sizes, or whose positions in the order,
 leave too little overlap are discarded; for the others the overlap is counted in full.

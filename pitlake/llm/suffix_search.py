@@ -1,8 +1,9 @@
-"""Benchmark passages in training text, by suffix arrays of the training shards.
+"""Benchmark passages in training text, by sorted places of the training shards.
 
-A shard is a bounded stretch of documents. Its suffixes of words are sorted, by the first words' hashes
-in most-significant order, through the window's length; every suffix of the benchmark items is
-binary-searched in that order and its equal range is walked, word by word, to the longest match. The
+A shard is a bounded stretch of documents. Its places are sorted by 16 bits each of the four words that begin
+there; the start of every whole window of the benchmark items is binary-searched in that order, and all places
+of its range are compared on, word by word, through the window. Places that share four opening words are held
+at once, so a word repeated through a long document and an item costs memory by the product. The
 items go to all tasks; they are cut into blocks of bounded size, so that a broadcast is bounded as well.
 """
 
