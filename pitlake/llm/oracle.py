@@ -86,3 +86,39 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from doc_words left join hit_words using (doc_id) left join hit_items using (doc_id)
 """,
 }
+
+
+def clustering(clusters: int, rounds: int) -> str:
+    """k-means in SQL, a few steps a round: assign, then the floor of the mean where a centroid has vectors."""
+    steps = [
+        """v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
+  from embeddings where vec_id is not null and len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64)""",
+        f"""c0 as (select row_number() over (order by h) - 1 as k, e
+  from (select sha256('1:' || vec_id) as h, e from v order by h limit {clusters}))""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} as (select vec_id, e, min(k) as k, min(d) as d from (
+  select *, min(d) over (partition by vec_id) as least from (
+    select vec_id, v.e, k, list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d from v, c{i} c))
+  where d = least group by vec_id, e)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} as (select k, i, sum(x) as s, count(*) as n from (
+  select k, unnest(e) as x, unnest(range(1, 65)) as i from a{i}) group by k, i)"""
+            )
+            steps.append(
+                f"""c{i + 1} as (select c.k, coalesce(m.e, c.e) as e from c{i} c left join (
+  select k, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as e from s{i} group by k) m on m.k = c.k)"""
+            )
+    last = rounds
+    return f"""with {", ".join(steps)}
+select vec_id, cast(a.k as int) as cluster, cast(d as bigint) as distance,
+       cast(sum(d) over (partition by a.k) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(c.e, ',')) as centroid_sha256
+from a{last} a join c{last} c on c.k = a.k"""
+
+
+ORACLE["op11_centroid_clustering"] = clustering(16, 3)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, content_sort, kneser_ney, ngram_join, page_text, perspectives, quality, sharding, suffix_dedup, suffix_search
+from . import byte_bpe, centroid_tree, content_sort, kneser_ney, ngram_join, page_text, perspectives, quality, sharding, suffix_dedup, suffix_search
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -73,6 +73,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_tree.with_inertia(*centroid_tree.cluster(read(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op1_ngram_links": op1_ngram_links,
@@ -85,4 +89,5 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_perspectives": op9_perspectives,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }

@@ -19,7 +19,7 @@ from .test_operators import brute_components, brute_hits, fold  # noqa: E402
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     expected = con.execute(ORACLE[name]).to_arrow_table().to_pylist()
     found = [r.asDict() for r in QUERIES[name](spark, SF).collect()]
