@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, centroid_tree, content_sort, kneser_ney, ngram_join, page_text, perspectives, quality, sharding, suffix_dedup, suffix_search
+from . import byte_bpe, centroid_tree, content_sort, kneser_ney, ngram_join, page_text, pair_bitmaps, perspectives, quality, sharding, suffix_dedup, suffix_search
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 24
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_tree.with_inertia(*centroid_tree.cluster(read(spark, sf_dir, "embeddings")))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    figures, _ = pair_bitmaps.align(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    return figures
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op1_ngram_links": op1_ngram_links,
@@ -90,4 +96,5 @@ QUERIES = {
     "op9_perspectives": op9_perspectives,
     "op10_decontamination": op10_decontamination,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_token_alignment": op13_token_alignment,
 }
