@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, centroid_tree, content_sort, kneser_ney, ngram_join, page_text, pair_bitmaps, perspectives, quality, sharding, suffix_dedup, suffix_search
+from . import abuse_terms, byte_bpe, centroid_tree, content_sort, kneser_ney, ngram_join, page_text, pair_bitmaps, perspectives, quality, sharding, suffix_dedup, suffix_search
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -78,6 +78,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_tree.with_inertia(*centroid_tree.cluster(read(spark, sf_dir, "embeddings")))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = abuse_terms.score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     figures, _ = pair_bitmaps.align(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
     return figures
@@ -96,5 +101,6 @@ QUERIES = {
     "op9_perspectives": op9_perspectives,
     "op10_decontamination": op10_decontamination,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_toxicity": op12_toxicity,
     "op13_token_alignment": op13_token_alignment,
 }
