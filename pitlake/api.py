@@ -13,6 +13,7 @@ from pitlake.functions import params
 from pitlake.functions.params import DateLike
 from pitlake.functions.predicates import restrict
 from pitlake.operators import coverage, panels, prices, securities, tradability
+from pitlake.operators.ordered import ordered
 from pitlake.plans import ledger as ledgers
 from pitlake.plans.sync import (
     DATED,
@@ -28,7 +29,6 @@ from pitlake.sources.lake import Lake
 from pitlake.sources.landing import LandingZone, Source
 
 Codes = str | Iterable[str] | None
-ORDER = ["trade_date", "ts_code"]
 
 
 class MarketLake:
@@ -82,23 +82,27 @@ class MarketLake:
         self, symbols: Codes = None, *, start: DateLike | None = None, end: DateLike | None = None,
         adjust: str = "none", as_of: DateLike | None = None,
     ) -> DataFrame:
-        return self._bars(symbols, start, end, adjust, as_of).orderBy(*ORDER)
+        rows, keys = self._bars(symbols, start, end, adjust, as_of)
+        return ordered(rows, keys)
 
     def panel(
         self, symbols: Codes = None, *, start: DateLike | None = None, end: DateLike | None = None,
         adjust: str = "none", as_of: DateLike | None = None,
     ) -> DataFrame:
         metrics = panels.panel_metrics(self.table("daily_basic"))
-        bars = self._bars(symbols, start, end, adjust, as_of, metrics)
-        return panels.adjusted_panel(bars).orderBy(*ORDER)
+        bars, keys = self._bars(symbols, start, end, adjust, as_of, metrics)
+        return ordered(panels.adjusted_panel(bars), keys)
 
-    def _bars(self, symbols, start, end, adjust, as_of, aligned=None) -> DataFrame:
+    def _bars(self, symbols, start, end, adjust, as_of, aligned=None) -> tuple[DataFrame, DataFrame]:
+        """Unordered bars, and a narrow frame of their keys."""
         adjust, day = params.adjustment(adjust, as_of)
         codes = params.code_list(symbols)
         first, last = params.date_range(start, end)
-        return prices.adjusted_bars(
-            self.table("daily"), self.table("adj_factor"), codes, first, last, adjust, day, aligned
+        daily = self.table("daily")
+        rows = prices.adjusted_bars(
+            daily, self.table("adj_factor"), codes, first, last, adjust, day, aligned
         )
+        return rows, restrict(daily, codes, first, prices.last_day(last, day))
 
     def index_bars(
         self, index_codes: Codes = None, *, start: DateLike | None = None,
@@ -106,7 +110,7 @@ class MarketLake:
     ) -> DataFrame:
         codes = params.code_list(index_codes, "index_codes")
         rows = restrict(self.table("index_daily"), codes, *params.date_range(start, end))
-        return panels.index_bar(rows).orderBy(*ORDER)
+        return ordered(panels.index_bar(rows), rows)
 
     def index_panel(
         self, index_codes: Codes = None, *, start: DateLike | None = None,
@@ -117,7 +121,7 @@ class MarketLake:
         bars, metrics = (
             restrict(self.table(name), codes, *span) for name in ("index_daily", "index_dailybasic")
         )
-        return panels.index_panel(bars, metrics).orderBy(*ORDER)
+        return ordered(panels.index_panel(bars, metrics), bars)
 
     def universe(
         self, as_of: DateLike, *, index_code: str | None = None, exclude_st: bool = False,

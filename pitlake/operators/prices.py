@@ -71,6 +71,11 @@ def daily_bar_qfq_asof(daily: DataFrame, adj_factor: DataFrame, as_of: date) ->
     return daily_bar_qfq(bars, latest_adj_factor(adj_factor, as_of))
 
 
+def last_day(end: date | None, as_of: date | None) -> date | None:
+    """Bars after either are not seen."""
+    return min((day for day in (end, as_of) if day is not None), default=None)
+
+
 def adjusted_bars(
     daily: DataFrame,
     adj_factor: DataFrame,
@@ -89,7 +94,7 @@ def adjusted_bars(
     Codes and days are applied to both inputs before their join. The anchor is the exception: it is
     the last factor of a security's whole history, so only the codes may narrow it.
     """
-    last = min((day for day in (end, as_of) if day is not None), default=None)
+    last = last_day(end, as_of)
     bars = daily_bar(restrict(daily, codes, start, last), restrict(adj_factor, codes, start, last))
     if aligned is not None:
         bars = bars.join(restrict(aligned, codes, start, last), KEY, "left")

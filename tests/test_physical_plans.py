@@ -148,7 +148,14 @@ def test_table_function_argument_is_pushed_down(spark, tables):
     assert all("EqualTo(trade_date,2024-01-15)" in scan for scan in dated)
 
 
-def test_anchors_are_broadcast_only_for_listed_codes(shuffled, spark, tables):
+def test_anchors_are_never_broadcast_by_force(shuffled, spark, tables):
+    """Not for listed codes either: a list has no bound, only a measured size decides."""
     market = MarketLake(spark, tables=tables)
-    assert "BroadcastHashJoin" in plan_of(market.bars(["a"], adjust="qfq"))
+    assert "BroadcastHashJoin" not in plan_of(market.bars(["a"], adjust="qfq"))
     assert "BroadcastHashJoin" not in plan_of(market.bars(adjust="qfq"))
+
+
+def test_ordered_queries_sample_nothing(spark, tables):
+    market = MarketLake(spark, tables=tables)
+    for rows in (market.bars(adjust="qfq"), market.panel(), market.index_bars(), market.index_panel()):
+        assert "rangepartitioning" not in plan_of(rows)

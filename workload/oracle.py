@@ -56,6 +56,17 @@ oracle(
     "bars_qfq_latest", BARS,
     f"{_factor_bars()}{_anchors()} select {_scaled(QFQ, ANCHOR)} {FROM_ANCHORED}",
 )
+_POSITION = "row_number() over (order by b.trade_date, b.ts_code) as position, b.trade_date, b.ts_code"
+oracle(
+    "bars_qfq_numbered", BARS,
+    f"{_factor_bars()}{_anchors()} select {_POSITION}, {QFQ.format(p='b.close')} as close {FROM_ANCHORED}",
+)
+oracle("panel_numbered", PANEL, f"{_factor_bars()} select {_POSITION}, b.close, m.pe from bars b {WITH_METRICS}")
+oracle(
+    "bars_numbered_few_days", BARS,
+    _factor_bars("d.trade_date between date '2024-01-08' and date '2024-01-09'")
+    + f" select {_POSITION}, b.close * b.adj_factor as close from bars b",
+)
 _asof = _factor_bars("d.trade_date <= date '2024-01-20'") + _anchors(
     "trade_date <= date '2024-01-20'"
 )

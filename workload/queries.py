@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pitlake import MarketLake
 from pitlake.functions.typing import LANDED_DATE
 from pitlake.operators import checks, pages, panels, prices, securities, tradability
+from pitlake.operators.ordered import numbered
 from pitlake.plans import ledger, partitions, runs
 from pitlake.plans.sync import (
     DATED,
@@ -104,6 +105,24 @@ def bars_symbols_range(t):
     return market(t).bars(SOME_CODES, start="2024-01-05", end="2024-01-25", adjust="qfq")
 
 
+@query
+def bars_qfq_numbered(t):
+    """The order of the rows, as numbers: partitions in order, and rows in order within each."""
+    return numbered(market(t).bars(adjust="qfq")).select("position", "trade_date", "ts_code", "close")
+
+
+@query
+def panel_numbered(t):
+    return numbered(market(t).panel()).select("position", "trade_date", "ts_code", "close", "pe")
+
+
+@query
+def bars_numbered_few_days(t):
+    """Two days, each heavier than a range, which are cut by code."""
+    bars = market(t).bars(start="2024-01-08", end="2024-01-09", adjust="hfq")
+    return numbered(bars).select("position", "trade_date", "ts_code", "close")
+
+
 @query
 def latest_adj_factor(t):
     return prices.latest_adj_factor(t.dataset("adj_factor"))
