@@ -34,7 +34,7 @@ VIEWS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {
         t("stk_limit"), t("suspend_d"), t("daily")
     ),
     "market_stock_trade_constraints_daily": lambda t: tradability.stock_trade_constraints(
-        tradability.trade_constraints(t("stk_limit"), t("suspend_d"), t("daily")),
+        tradability.trade_constraints(t("stk_limit"), t("suspend_d"), t("daily"), bucketed=True),
         t("stock_basic"), t("namechange"),
     ),
     "indices_basic": lambda t: panels.index_basic(t("index_basic")),

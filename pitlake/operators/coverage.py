@@ -28,6 +28,8 @@ DATED = [*ON_OPEN_DAYS, "index_daily"]
 # Datasets compared with the bars row by row; a missing factor makes a dataset incomplete, missing
 # metrics are only reported.
 MATCHED = ["adj_factor", "daily_basic"]
+# Each has a bit of the presence mask, in this order.
+ROW_BY_ROW = ["daily", *MATCHED]
 # Datasets in which a committed empty day counts as covered.
 EMPTY_DAY_OK = ["index_daily", "suspend_d"]
 # Fixed value: order of the report.
@@ -65,61 +67,89 @@ def _whole_table_spans(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _day_rows(name: str, rows: DataFrame, n: int = 1, unmatched: int = 0) -> DataFrame:
-    return rows.select(
-        F.lit(name).alias("dataset"),
-        F.col("trade_date").alias("day"),
-        F.lit(n).alias("n"),
-        F.lit(unmatched).alias("unmatched"),
-    )
-
-
-def unmatched_bars(daily: DataFrame, other: DataFrame) -> DataFrame:
-    """Bars without a row of the other dataset; several such searches shuffle the bars once."""
-    return daily.select(*KEY).join(other.select(*KEY), KEY, "left_anti")
-
-
 def _committed_days(ledger: DataFrame, start: date, end: date) -> DataFrame:
     day = F.get_json_object("partition_values", "$.trade_date").try_cast("date")
     ids = [DATASETS[name].id for name in EMPTY_DAY_OK]
     committed = ledger.where(F.col("dataset_id").isin(ids)).select(
-        F.substring_index("dataset_id", ".", -1).alias("dataset"), day.alias("day")
+        F.concat(F.lit("committed_"), F.substring_index("dataset_id", ".", -1)).alias("source"), day.alias("day")
     )
-    return committed.where(within(F.col("day"), start, end)).select(
-        "dataset", "day", F.lit(0).alias("n"), F.lit(0).alias("unmatched")
+    return committed.where(within(F.col("day"), start, end))
+
+
+def presence(tables: Mapping[str, DataFrame], start: date, end: date) -> DataFrame:
+    """Rows per day, source and presence mask of the datasets that are compared row by row.
+
+    Every dataset has a bit; the bits of a security-day come together in one aggregate, and its rows are counted
+    by the mask they form. So a bar without its factor is known by its mask, without any join.
+    """
+    rows = [
+        tables[name].where(within(F.col("trade_date"), start, end)).select(
+            *KEY, F.lit(1 << bit).alias("bit"), *[F.lit(int(name == each)).alias(each) for each in ROW_BY_ROW]
+        )
+        for bit, name in enumerate(ROW_BY_ROW)
+    ]
+    masks = _union(rows).groupBy(*KEY).agg(
+        F.bit_or("bit").alias("mask"), *[F.sum(name).alias(name) for name in ROW_BY_ROW]
     )
+    # An unknown key meets nothing.
+    mask = F.when(F.col("ts_code").isNotNull(), F.col("mask")).otherwise(1)
+    by_mask = masks.groupBy(F.col("trade_date").alias("day"), mask.alias("mask")).agg(
+        *[F.sum(name).alias(name) for name in ROW_BY_ROW]
+    )
+    entries = F.array(*[F.struct(F.lit(name).alias("source"), F.col(name).alias("n")) for name in ROW_BY_ROW])
+    return by_mask.select("day", "mask", F.explode(entries).alias("of")).select("of.source", "day", "mask", "of.n")
 
 
 def _dated_coverage(
-    tables: Mapping[str, DataFrame], ledger: DataFrame, open_days: DataFrame,
-    start: date, end: date,
+    tables: Mapping[str, DataFrame], ledger: DataFrame, start: date, end: date
 ) -> DataFrame:
-    def ranged(name: str) -> DataFrame:
-        return tables[name].where(within(F.col("trade_date"), start, end))
+    """One row of figures for every dated dataset and the calendar; each dataset is read once.
 
-    rows = _union(
-        [_day_rows(name, ranged(name)) for name in DATED]
-        + [_day_rows(n, unmatched_bars(ranged("daily"), ranged(n)), 0, 1) for n in MATCHED]
-        + [_committed_days(ledger, start, end)]
-    )
-    # The partial aggregate leaves one row per task, dataset and day; only the search for unmatched
-    # bars moves rows, by security-day.
-    days = rows.groupBy("dataset", "day").agg(
-        F.sum("n").alias("n"), F.sum("unmatched").alias("unmatched")
+    All sources are counted per day in one partially aggregated union and brought together by day, so a
+    day knows whether it is open when its datasets are judged.
+    """
+    calendar = tables["trade_cal"].where(
+        (F.col("exchange") == CALENDAR_EXCHANGE) & within(F.col("cal_date"), start, end)
     )
-    # A day on which bars lack their match is no day of the dataset they are missing from.
-    covered = (F.col("n") > 0) | F.col("dataset").isin(EMPTY_DAY_OK)
-    calendar = open_days.select(F.col("cal_date").alias("day"), F.lit(True).alias("is_open"))
-    flagged = days.join(calendar, "day", "left")
-    counts_here = covered & (F.col("is_open") | (F.col("dataset") == "index_daily"))
-    with_data = F.when(F.col("n") > 0, F.col("day"))
-    return flagged.groupBy("dataset").agg(
-        F.count_if(counts_here).alias("available_days"),
-        F.sum("n").alias("row_count"),
-        F.min(with_data).alias("first_date"),
-        F.max(with_data).alias("last_date"),
-        F.sum("unmatched").alias("unmatched_daily_rows"),
+    one, none = F.lit(1), F.lit(0)
+    sources = [
+        tables[name].where(within(F.col("trade_date"), start, end)).select(
+            F.lit(name).alias("source"), F.col("trade_date").alias("day"), none.alias("mask"), one.alias("n"))
+        for name in DATED if name not in ROW_BY_ROW
+    ]
+    sources.append(presence(tables, start, end))
+    sources.append(_committed_days(ledger, start, end).select("source", "day", none.alias("mask"), one.alias("n")))
+    told = F.when(F.col("is_open") == 1, F.array(F.lit("trade_cal"), F.lit("open"))).otherwise(F.array(F.lit("trade_cal")))
+    sources.append(calendar.select(F.explode(told).alias("source"), F.col("cal_date").alias("day"), none.alias("mask"), one.alias("n")))
+    rows = _union(sources)
+    source, n = F.col("source"), F.col("n")
+
+    def rows_of(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(source == name, n)), _no_rows())
+
+    def lacking(name: str) -> Column:
+        bit = 1 << ROW_BY_ROW.index(name)
+        return F.coalesce(F.sum(F.when((source == "daily") & (F.col("mask").bitwiseAND(bit) == 0), n)), _no_rows())
+
+    counted = [*DATED, "trade_cal", "open", *[f"committed_{name}" for name in EMPTY_DAY_OK]]
+    days = rows.groupBy("day").agg(
+        *[rows_of(name).alias(name) for name in counted], *[lacking(name).alias(f"no_{name}") for name in MATCHED]
     )
+    measures = []
+    for name in [*DATED, "trade_cal"]:
+        here = F.col(name) > 0
+        covered = here | (F.col(f"committed_{name}") > 0) if name in EMPTY_DAY_OK else here
+        counts = covered & ((F.col("open") > 0) | F.lit(name in ("index_daily", "trade_cal"))) & F.col("day").isNotNull()
+        unmatched = F.sum(f"no_{name}") if name in MATCHED else F.lit(None).cast("long")
+        measures.append(
+            F.struct(
+                F.lit(name).alias("dataset"), F.count_if(counts).alias("available_days"), F.sum(name).alias("row_count"),
+                F.min(F.when(here, F.col("day"))).alias("first_date"), F.max(F.when(here, F.col("day"))).alias("last_date"),
+                unmatched.alias("unmatched_daily_rows"),
+                F.count_if(F.col("trade_cal") > 0).alias("calendar_days"), F.sum("open").alias("open_days"),
+            )
+        )
+    return days.agg(F.explode(F.array(*measures)).alias("of")).select("of.*")
 
 
 def health(
@@ -131,19 +161,6 @@ def health(
 ) -> DataFrame:
     """One row per dataset over a closed date range, in fixed order."""
     span = (end - start).days + 1
-    calendar = tables["trade_cal"].where(
-        (F.col("exchange") == CALENDAR_EXCHANGE) & within(F.col("cal_date"), start, end)
-    )
-    calendar_days = calendar.agg(F.count_distinct("cal_date").alias("n")).scalar()
-    open_days = calendar.where(F.col("is_open") == 1).select("cal_date")
-    expected_open = open_days.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-    calendar_coverage = calendar.agg(
-        F.count_distinct("cal_date").alias("available_days"),
-        F.count("cal_date").alias("row_count"),
-        F.min("cal_date").alias("first_date"),
-        F.max("cal_date").alias("last_date"),
-    ).withColumn("dataset", F.lit("trade_cal"))
     commits = ledger.groupBy(
         F.substring_index("dataset_id", ".", -1).alias("dataset")
     ).agg(F.max("committed_at").alias("last_committed_at"))
@@ -154,8 +171,7 @@ def health(
     # Each dataset has at most one row with each of these columns, so one small aggregate brings
     # them together; datasets without any row still have their rank.
     parts = [
-        _dated_coverage(tables, ledger, open_days, start, end),
-        calendar_coverage, _whole_table_spans(tables), commits, report,
+        _dated_coverage(tables, ledger, start, end), _whole_table_spans(tables), commits, report,
     ]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [name for name in merged.columns if name != "dataset"]
@@ -163,7 +179,7 @@ def health(
     named = F.col("dataset")
     on_open_days = named.isin(ON_OPEN_DAYS)
     whole = named.isin(list(WHOLE))
-    expected = F.when(on_open_days, expected_open).when(
+    expected = F.when(on_open_days, F.coalesce("open_days", _no_rows())).when(
         named.isin("trade_cal", "index_daily"), F.lit(span).cast("long")
     )
     rows = rows.where(F.col("rank").isNotNull()).withColumns(
@@ -182,7 +198,7 @@ def health(
     unmatched_factor = (named == "adj_factor") & (F.col("unmatched_daily_rows") > 0)
     status = (
         F.when(whole & (F.col("row_count") == 0), "EMPTY")
-        .when(on_open_days & (calendar_days < F.lit(span)), "CALENDAR_INCOMPLETE")
+        .when(on_open_days & (F.coalesce("calendar_days", _no_rows()) < F.lit(span)), "CALENDAR_INCOMPLETE")
         .when((missing > 0) | unmatched_factor, "INCOMPLETE")
         .otherwise("HEALTHY")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.functions.predicates import listed_on
@@ -17,6 +17,9 @@ from pitlake.operators.securities import (
 )
 
 BAR = ["open", "high", "low", "close"]
+LIMITS = ["pre_close", "up_limit", "down_limit"]
+# Facts are dealt by security and year; no market data is older.
+BUCKET, FIRST_YEAR = "_year", 1990
 FLAGS = [
     "open_at_up_limit", "open_at_down_limit", "locked_up_limit", "locked_down_limit",
     "can_buy_at_open", "can_sell_at_open",
@@ -49,31 +52,48 @@ def suspension_daily(suspend_d: DataFrame) -> DataFrame:
     )
 
 
+def bucket(day: Column) -> Column:
+    """The year a fact or a span of time is dealt by; what lies before or after the known years is in the outer ones."""
+    return F.least(F.greatest(F.year(day), F.lit(FIRST_YEAR)), F.lit(date.today().year))
+
+
+def in_buckets(spans: DataFrame, start: str, stop: str) -> DataFrame:
+    """A row of a span for every bucket it touches; an open span reaches the last one."""
+    last = F.when(F.col(stop).isNull(), date.today().year).otherwise(bucket(F.col(stop)))
+    return spans.where(F.col(start).isNotNull()).withColumn(BUCKET, F.explode(F.sequence(bucket(F.col(start)), last)))
+
+
 def trade_constraints(
-    stk_limit: DataFrame, suspend_d: DataFrame, daily: DataFrame
+    stk_limit: DataFrame, suspend_d: DataFrame, daily: DataFrame, bucketed: bool = False
 ) -> DataFrame:
     """Every security-day with a price limit or a suspension event, and its bar if there is one.
 
-    The full outer join of limits and events is written as limits with their events plus the events
-    without a limit. Both parts keep plain key columns, partitioned by security-day, so a filter on
-    code or day reaches all scans and the join with the bars shuffles neither part again; above a
-    full outer join's coalesced keys neither would hold.
+    Limits, events and bars are one union of narrow rows, dealt once by security and year and brought together by one
+    aggregate on the key, which is unique in limits and bars; security-days with a bar alone are dropped. A filter
+    on code or day reaches every scan. ``bucketed`` keeps the year, by which joins with spans
+    of time find the rows already dealt.
     """
-    limits = stk_limit.select(*KEY, "pre_close", "up_limit", "down_limit")
-    # Keys are never NULL; saying so on both uses of the events lets Spark run them once.
+    def dealt(rows: DataFrame, *columns) -> DataFrame:
+        return rows.select(*KEY, bucket(F.col("trade_date")).alias(BUCKET), *columns)
+
+    # Events of a day combine before they are moved: any number of them may be of one security.
     keyed = suspend_d.where(F.col("ts_code").isNotNull() & F.col("trade_date").isNotNull())
-    events = suspension_daily(keyed)
-    limited = limits.join(events, KEY, "left")
-    unlimited = events.join(stk_limit.select(*KEY), KEY, "left_anti")
-    merged = limited.unionByName(unlimited, allowMissingColumns=True)
-    rows = merged.join(daily.select(*KEY, *BAR), KEY, "left").withColumns(
-        {
-            "is_suspended": F.coalesce("is_suspended", F.lit(False)),
-            "is_resumed": F.coalesce("is_resumed", F.lit(False)),
-        }
+    event_days = dealt(suspension_daily(keyed), "suspend_timing", "is_suspended", "is_resumed")
+    limits = dealt(stk_limit, *LIMITS, F.lit(True).alias("_wanted"))
+    events = event_days.withColumn("_wanted", F.lit(True))
+    tagged = limits.unionByName(events, allowMissingColumns=True).unionByName(
+        dealt(daily, *BAR), allowMissingColumns=True
+    )
+    values = [*LIMITS, *BAR, "suspend_timing", "is_suspended", "is_resumed", "_wanted"]
+    # The year before the day: the order the rows are aggregated in also serves joins on security and year.
+    dealt_out = tagged.repartition("ts_code", BUCKET)
+    merged = dealt_out.groupBy("ts_code", BUCKET, "trade_date").agg(*[F.max(name).alias(name) for name in values])
+    rows = merged.where("_wanted").withColumns(
+        {name: F.coalesce(name, F.lit(False)) for name in ("is_suspended", "is_resumed")}
     )
     halted = F.col("is_suspended")
-    flags = {
+    derived = {
+        "suspend_type": F.when(halted & F.col("is_resumed"), "S,R").when(halted, "S").when(F.col("is_resumed"), "R"),
         "open_at_up_limit": F.col("open") >= F.col("up_limit"),
         "open_at_down_limit": F.col("open") <= F.col("down_limit"),
         "locked_up_limit": F.col("low") >= F.col("up_limit"),
@@ -81,28 +101,35 @@ def trade_constraints(
         "can_buy_at_open": F.when(halted, False).otherwise(F.col("open") < F.col("up_limit")),
         "can_sell_at_open": F.when(halted, False).otherwise(F.col("open") > F.col("down_limit")),
     }
-    return rows.withColumns(flags).select(*CONSTRAINTS)
+    return rows.withColumns(derived).select(*CONSTRAINTS, *([BUCKET] if bucketed else []))
 
 
 def stock_trade_constraints(
     constraints: DataFrame, stock_basic: DataFrame, namechange: DataFrame
 ) -> DataFrame:
-    """Constraints of stocks while listed, with the name of that day."""
-    stocks = stock_basic.select(
-        F.col("ts_code").alias("stock"), "symbol", "list_date", "delist_date"
-    )
-    day = F.col("trade_date")
-    listed = (F.col("ts_code") == F.col("stock")) & listed_on(
-        F.col("list_date"), F.col("delist_date"), day
+    """Constraints of stocks while listed, with the name of that day.
+
+    Spans of time are spread over the years they touch and join on security and year, as bucketed
+    constraints are dealt; so no fact moves again, however large the masters are.
+    """
+    if BUCKET not in constraints.columns:
+        constraints = constraints.withColumn(BUCKET, bucket(F.col("trade_date")))
+    stocks = in_buckets(
+        stock_basic.select("ts_code", "symbol", "list_date", "delist_date"), "list_date", "delist_date"
     )
-    spans = name_spans(namechange).withColumnRenamed("ts_code", "named")
+    names = in_buckets(name_spans(namechange), "span_start", "span_stop")
+    facts, day = constraints.alias("facts"), F.col("trade_date")
+
+    def same(other: str) -> Column:
+        return (F.col("facts.ts_code") == F.col(f"{other}.ts_code")) & (F.col(f"facts.{BUCKET}") == F.col(f"{other}.{BUCKET}"))
+
+    listed = same("stocks") & listed_on(F.col("list_date"), F.col("delist_date"), day)
     in_force = (
-        (F.col("ts_code") == F.col("named"))
-        & (day >= F.col("span_start"))
-        & (F.col("span_stop").isNull() | (day < F.col("span_stop")))
+        same("names") & (day >= F.col("span_start")) & (F.col("span_stop").isNull() | (day < F.col("span_stop")))
     )
-    rows = constraints.join(stocks, listed).join(spans, in_force, "left")
-    return with_names(rows).select(*STOCK_CONSTRAINTS)
+    rows = facts.join(stocks.alias("stocks"), listed).join(names.alias("names"), in_force, "left")
+    shown = [F.col(f"facts.{name}") if name in constraints.columns else F.col(name) for name in STOCK_CONSTRAINTS if name != "has_name_history"]
+    return with_names(rows.select(*shown)).select(*STOCK_CONSTRAINTS)
 
 
 def stock_trade_constraints_asof(

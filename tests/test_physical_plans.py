@@ -57,7 +57,7 @@ def shuffled(spark):
 def test_filters_above_the_constraints_reach_every_scan(tables):
     rows = tradability.trade_constraints(tables["stk_limit"], tables["suspend_d"], tables["daily"])
     found = scans(plan_of(rows.where((F.col("trade_date") == DAY) & (F.col("ts_code") == "a"))))
-    assert len(found) >= 4
+    assert len(found) == 3
     for scan in found:
         assert "EqualTo(trade_date,2024-01-15)" in scan and "EqualTo(ts_code,a)" in scan
 
@@ -101,12 +101,33 @@ def test_panel_shuffles_each_table_once(shuffled, tables):
     ] * 3
 
 
-def test_constraints_do_not_shuffle_their_joined_rows_again(shuffled, tables):
+def test_constraints_deal_every_table_once(shuffled, tables):
     rows = tradability.trade_constraints(tables["stk_limit"], tables["suspend_d"], tables["daily"])
-    moved = exchanges(plan_of(rows))
-    # Limits, bars, events and, for the events without a limit, keys of limits and events.
-    assert set(moved) == {"ts_code, trade_date"}
-    assert len(moved) <= 7
+    plan = plan_of(rows)
+    # Limits, bars and event days together; events combine by key before.
+    assert sorted(exchanges(plan)) == ["ts_code, _year", "ts_code, trade_date"]
+    assert "Join" not in plan
+    limit_scans = [scan for scan in scans(plan) if "up_limit" in scan]
+    assert len(limit_scans) == 1
+
+
+def test_stock_constraints_move_facts_once(shuffled, tables):
+    """Masters of any size meet the constraints where those already are."""
+    constraints = tradability.trade_constraints(
+        tables["stk_limit"], tables["suspend_d"], tables["daily"], bucketed=True
+    )
+    rows = tradability.stock_trade_constraints(constraints, tables["stock_basic"], tables["namechange"])
+    before, after = exchanges(plan_of(constraints)), exchanges(plan_of(rows))
+    for each in before:
+        after.remove(each)
+    # Listings and name spans come to the facts; names were gathered by security first.
+    assert sorted(after) == ["ts_code", "ts_code, _year", "ts_code, _year"]
+
+
+def test_health_reads_every_dataset_once(shuffled, spark, tables):
+    plan = plan_of(MarketLake(spark, tables=tables).health(start=DAY, end=DAY))
+    assert len(scans(plan)) == len(DATASETS)
+    assert "LeftAnti" not in plan and "Join" not in plan
 
 
 def test_committed_reads_prune_folders(spark, tables, tmp_path):
@@ -144,7 +165,7 @@ def test_table_function_argument_is_pushed_down(spark, tables):
     market = MarketLake(spark, tables=tables)
     rows = market.sql("select * from market.stock_trade_constraints_asof(:d)", d=DAY)
     dated = [scan for scan in scans(plan_of(rows)) if "trade_date" in scan]
-    assert len(dated) >= 4
+    assert len(dated) == 3
     assert all("EqualTo(trade_date,2024-01-15)" in scan for scan in dated)
 
 

@@ -235,9 +235,9 @@ def suspension_rollup(t):
     return tradability.suspension_daily(t.dataset("suspend_d"))
 
 
-def _constraints(t: Derived) -> DataFrame:
+def _constraints(t: Derived, bucketed: bool = False) -> DataFrame:
     return tradability.trade_constraints(
-        t.dataset("stk_limit"), t.dataset("suspend_d"), t.dataset("daily")
+        t.dataset("stk_limit"), t.dataset("suspend_d"), t.dataset("daily"), bucketed
     )
 
 
@@ -249,7 +249,7 @@ def trade_constraints(t):
 @query
 def stock_trade_constraints(t):
     return tradability.stock_trade_constraints(
-        _constraints(t), t.dataset("stock_basic"), t.dataset("namechange")
+        _constraints(t, bucketed=True), t.dataset("stock_basic"), t.dataset("namechange")
     )
 
 
