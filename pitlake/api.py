@@ -133,10 +133,25 @@ class MarketLake:
         )
         members = None
         if code is not None:
-            members = securities.index_members_asof(self.table("index_weight"), code, day)
+            members = self.members(code, day)
         rows = securities.universe(status, members, exclude_st, exclude_delisting)
         return rows.orderBy("ts_code")
 
+    def members(self, index_code: str, as_of: DateLike) -> DataFrame:
+        """The newest weights of an index that are not later than the day; over a lake, from the one month that holds them."""
+        day = params.as_date(as_of)
+        if self._tables is None:
+            weights = self.lake.snapshot_month("index_weight", index_code, day)
+        else:
+            weights = self.table("index_weight")
+        return securities.index_members_asof(weights, index_code, day)
+
+    def clean(self) -> int:
+        """See ``Lake.clean``: frees what replaced and failed runs have left."""
+        if self.read_only:
+            raise PermissionError("this lake was opened read-only")
+        return self.lake.clean()
+
     def tradeability(self, as_of: DateLike, *, symbols: Codes = None) -> DataFrame:
         names = ("stk_limit", "suspend_d", "daily", "stock_basic", "namechange")
         return tradability.stock_trade_constraints_asof(

@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.functions.predicates import within
-from pitlake.operators.prices import KEY
 from pitlake.sources.datasets import CALENDAR_EXCHANGE, DATASETS, PREFIX
 
 # Whole-table datasets with the first and last day a row stands for (None: undated).
@@ -44,112 +40,65 @@ REPORT = [
 ]
 
 
-def _no_rows() -> Column:
-    return F.lit(0).cast("long")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _whole_table_spans(tables: Mapping[str, DataFrame]) -> DataFrame:
+def _whole_sql() -> str:
+    """Rows, first and last day of every dataset that is judged as a whole."""
     frames = []
     for name, dates in WHOLE.items():
-        low = high = F.lit(None).cast("date")
-        if dates:
-            low, high = F.col(dates[0]), F.coalesce(dates[1], dates[0])
-        days = F.lit(name).alias("dataset"), low.alias("lo"), high.alias("hi")
-        frames.append(tables[name].select(*days))
-    return _union(frames).groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min("lo").alias("first_date"),
-        F.max("hi").alias("last_date"),
-    )
-
-
-def _committed_days(ledger: DataFrame, start: date, end: date) -> DataFrame:
-    day = F.get_json_object("partition_values", "$.trade_date").try_cast("date")
-    ids = [DATASETS[name].id for name in EMPTY_DAY_OK]
-    committed = ledger.where(F.col("dataset_id").isin(ids)).select(
-        F.concat(F.lit("committed_"), F.substring_index("dataset_id", ".", -1)).alias("source"), day.alias("day")
-    )
-    return committed.where(within(F.col("day"), start, end))
-
-
-def presence(tables: Mapping[str, DataFrame], start: date, end: date) -> DataFrame:
-    """Rows per day, source and presence mask of the datasets that are compared row by row.
-
-    Every dataset has a bit; the bits of a security-day come together in one aggregate, and its rows are counted
-    by the mask they form. So a bar without its factor is known by its mask, without any join.
-    """
-    rows = [
-        tables[name].where(within(F.col("trade_date"), start, end)).select(
-            *KEY, F.lit(1 << bit).alias("bit"), *[F.lit(int(name == each)).alias(each) for each in ROW_BY_ROW]
-        )
-        for bit, name in enumerate(ROW_BY_ROW)
-    ]
-    masks = _union(rows).groupBy(*KEY).agg(
-        F.bit_or("bit").alias("mask"), *[F.sum(name).alias(name) for name in ROW_BY_ROW]
-    )
-    # An unknown key meets nothing.
-    mask = F.when(F.col("ts_code").isNotNull(), F.col("mask")).otherwise(1)
-    by_mask = masks.groupBy(F.col("trade_date").alias("day"), mask.alias("mask")).agg(
-        *[F.sum(name).alias(name) for name in ROW_BY_ROW]
-    )
-    entries = F.array(*[F.struct(F.lit(name).alias("source"), F.col(name).alias("n")) for name in ROW_BY_ROW])
-    return by_mask.select("day", "mask", F.explode(entries).alias("of")).select("of.source", "day", "mask", "of.n")
+        low, high = (dates[0], f"coalesce({dates[1]}, {dates[0]})") if dates else ("cast(null as date)",) * 2
+        frames.append(f"select '{name}' as dataset, {low} as lo, {high} as hi from {{{name}}}")
+    return f"""select dataset, count(*) as row_count, min(lo) as first_date, max(hi) as last_date
+        from ({" union all ".join(frames)}) group by dataset"""
 
 
-def _dated_coverage(
-    tables: Mapping[str, DataFrame], ledger: DataFrame, start: date, end: date
-) -> DataFrame:
-    """One row of figures for every dated dataset and the calendar; each dataset is read once.
+def _dated_sql(start: date, end: date) -> str:
+    """Figures of every dated dataset and of the calendar, each read once, as one text: it is planned as a whole.
 
-    All sources are counted per day in one partially aggregated union and brought together by day, so a
-    day knows whether it is open when its datasets are judged.
+    Every dataset that is compared row by row has a bit. The bits of a security-day come together in one aggregate
+    and its rows are counted by the mask they form, so a bar without its factor is known by its mask, without
+    any join; an unknown key meets nothing. All sources are then counted per day in one partially aggregated
+    union and brought together by day, so a day knows whether it is open when its datasets are judged.
     """
-    calendar = tables["trade_cal"].where(
-        (F.col("exchange") == CALENDAR_EXCHANGE) & within(F.col("cal_date"), start, end)
+    within_days = f"between date '{start}' and date '{end}'"
+    counts = ", ".join(f"sum(if(bit = {1 << i}, 1, 0)) as n{i}" for i in range(len(ROW_BY_ROW)))
+    keyed = " union all ".join(
+        f"select ts_code, trade_date, {1 << i} as bit from {{{name}}} where trade_date {within_days}"
+        for i, name in enumerate(ROW_BY_ROW)
     )
-    one, none = F.lit(1), F.lit(0)
+    by_mask = f"""
+        select trade_date as day, if(ts_code is null, 1, mask) as mask, {", ".join(f"sum(n{i}) as n{i}" for i in range(len(ROW_BY_ROW)))}
+        from (select ts_code, trade_date, bit_or(bit) as mask, {counts} from ({keyed}) group by ts_code, trade_date)
+        group by 1, 2"""
+    entries = ", ".join(f"named_struct('source', '{name}', 'n', n{i})" for i, name in enumerate(ROW_BY_ROW))
+    ids = ", ".join(f"'{DATASETS[name].id}'" for name in EMPTY_DAY_OK)
     sources = [
-        tables[name].where(within(F.col("trade_date"), start, end)).select(
-            F.lit(name).alias("source"), F.col("trade_date").alias("day"), none.alias("mask"), one.alias("n"))
-        for name in DATED if name not in ROW_BY_ROW
+        *[f"select '{name}' as source, trade_date as day, 0 as mask, 1 as n from {{{name}}} where trade_date {within_days}"
+          for name in DATED if name not in ROW_BY_ROW],
+        f"""select of.source, day, mask, of.n
+            from (select day, mask, explode(array({entries})) as of from ({by_mask}))""",
+        f"""select source, day, 0 as mask, 1 as n from (
+              select concat('committed_', substring_index(dataset_id, '.', -1)) as source,
+                     try_cast(get_json_object(partition_values, '$.trade_date') as date) as day
+              from {{commits}} where dataset_id in ({ids})) where day {within_days}""",
+        f"""select explode(if(is_open = 1, array('trade_cal', 'open'), array('trade_cal'))) as source, cal_date as day, 0 as mask, 1 as n
+            from {{trade_cal}} where exchange = '{CALENDAR_EXCHANGE}' and cal_date {within_days}""",
     ]
-    sources.append(presence(tables, start, end))
-    sources.append(_committed_days(ledger, start, end).select("source", "day", none.alias("mask"), one.alias("n")))
-    told = F.when(F.col("is_open") == 1, F.array(F.lit("trade_cal"), F.lit("open"))).otherwise(F.array(F.lit("trade_cal")))
-    sources.append(calendar.select(F.explode(told).alias("source"), F.col("cal_date").alias("day"), none.alias("mask"), one.alias("n")))
-    rows = _union(sources)
-    source, n = F.col("source"), F.col("n")
-
-    def rows_of(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(source == name, n)), _no_rows())
-
-    def lacking(name: str) -> Column:
-        bit = 1 << ROW_BY_ROW.index(name)
-        return F.coalesce(F.sum(F.when((source == "daily") & (F.col("mask").bitwiseAND(bit) == 0), n)), _no_rows())
-
     counted = [*DATED, "trade_cal", "open", *[f"committed_{name}" for name in EMPTY_DAY_OK]]
-    days = rows.groupBy("day").agg(
-        *[rows_of(name).alias(name) for name in counted], *[lacking(name).alias(f"no_{name}") for name in MATCHED]
-    )
-    measures = []
+    per_day = [f"coalesce(sum(if(source = '{name}', n, 0)), 0) as `{name}`" for name in counted] + [
+        f"coalesce(sum(if(source = 'daily' and mask & {1 << ROW_BY_ROW.index(name)} = 0, n, 0)), 0) as no_{name}" for name in MATCHED
+    ]
+    figures = []
     for name in [*DATED, "trade_cal"]:
-        here = F.col(name) > 0
-        covered = here | (F.col(f"committed_{name}") > 0) if name in EMPTY_DAY_OK else here
-        counts = covered & ((F.col("open") > 0) | F.lit(name in ("index_daily", "trade_cal"))) & F.col("day").isNotNull()
-        unmatched = F.sum(f"no_{name}") if name in MATCHED else F.lit(None).cast("long")
-        measures.append(
-            F.struct(
-                F.lit(name).alias("dataset"), F.count_if(counts).alias("available_days"), F.sum(name).alias("row_count"),
-                F.min(F.when(here, F.col("day"))).alias("first_date"), F.max(F.when(here, F.col("day"))).alias("last_date"),
-                unmatched.alias("unmatched_daily_rows"),
-                F.count_if(F.col("trade_cal") > 0).alias("calendar_days"), F.sum("open").alias("open_days"),
-            )
+        covered = f"(`{name}` > 0 or committed_{name} > 0)" if name in EMPTY_DAY_OK else f"`{name}` > 0"
+        counts_here = covered if name in ("index_daily", "trade_cal") else f"{covered} and open > 0"
+        unmatched = f"sum(no_{name})" if name in MATCHED else "cast(null as bigint)"
+        figures.append(
+            f"named_struct('dataset', '{name}', 'available_days', count_if({counts_here}), 'row_count', sum(`{name}`), "
+            f"'first_date', min(if(`{name}` > 0, day, null)), 'last_date', max(if(`{name}` > 0, day, null)), "
+            f"'unmatched_daily_rows', {unmatched}, 'calendar_days', count_if(trade_cal > 0), 'open_days', sum(open))"
         )
-    return days.agg(F.explode(F.array(*measures)).alias("of")).select("of.*")
+    union = " union all ".join(sources)
+    return f"""select of.* from (select explode(array({", ".join(figures)})) as of
+        from (select day, {", ".join(per_day)} from ({union}) group by day))"""
 
 
 def health(
@@ -161,49 +110,47 @@ def health(
 ) -> DataFrame:
     """One row per dataset over a closed date range, in fixed order."""
     span = (end - start).days + 1
-    commits = ledger.groupBy(
-        F.substring_index("dataset_id", ".", -1).alias("dataset")
-    ).agg(F.max("committed_at").alias("last_committed_at"))
-    names = F.array(*[F.lit(name) for name in REPORT_ORDER])
-    report = spark.range(0, len(REPORT_ORDER), numPartitions=1).select(
-        F.get(names, F.col("id").cast("int")).alias("dataset"), F.col("id").alias("rank")
-    )
+    on_open_days = "dataset in (" + ", ".join(f"'{name}'" for name in ON_OPEN_DAYS) + ")"
+    whole = "dataset in (" + ", ".join(f"'{name}'" for name in WHOLE) + ")"
+    matched = "dataset in (" + ", ".join(f"'{name}'" for name in MATCHED) + ")"
+    ranks = ", ".join(f"('{name}', {rank})" for rank, name in enumerate(REPORT_ORDER))
+    measures = [
+        "available_days", "row_count", "first_date", "last_date", "unmatched_daily_rows", "calendar_days", "open_days",
+        "last_committed_at", "rank",
+    ]
+    nothing = {"row_count": "bigint", "first_date": "date", "last_date": "date", "last_committed_at": "timestamp", "rank": "int"}
+
+    def part(text: str, *given: str) -> str:
+        filled = [name if name in given else f"cast(null as {nothing.get(name, 'bigint')}) as {name}" for name in measures]
+        return f"select dataset, {', '.join(filled)} from ({text})"
+
+    commits = "select substring_index(dataset_id, '.', -1) as dataset, max(committed_at) as last_committed_at from {commits} group by 1"
     # Each dataset has at most one row with each of these columns, so one small aggregate brings
     # them together; datasets without any row still have their rank.
     parts = [
-        _dated_coverage(tables, ledger, start, end), _whole_table_spans(tables), commits, report,
+        part(_dated_sql(start, end), *measures[:7]),
+        part(_whole_sql(), "row_count", "first_date", "last_date"),
+        part(commits, "last_committed_at"),
+        part(f"select * from values {ranks} as named(dataset, rank)", "rank"),
     ]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    measures = [name for name in merged.columns if name != "dataset"]
-    rows = merged.groupBy("dataset").agg(*[F.max(name).alias(name) for name in measures])
-    named = F.col("dataset")
-    on_open_days = named.isin(ON_OPEN_DAYS)
-    whole = named.isin(list(WHOLE))
-    expected = F.when(on_open_days, F.coalesce("open_days", _no_rows())).when(
-        named.isin("trade_cal", "index_daily"), F.lit(span).cast("long")
-    )
-    rows = rows.where(F.col("rank").isNotNull()).withColumns(
-        {
-            "dataset_id": F.concat(F.lit(f"{PREFIX}."), named),
-            "expected_days": expected,
-            "available_days": F.when(~whole, F.coalesce("available_days", _no_rows())),
-            "unmatched_daily_rows": F.when(
-                named.isin(MATCHED), F.coalesce("unmatched_daily_rows", _no_rows())
-            ),
-            "row_count": F.coalesce("row_count", _no_rows()),
-        }
-    )
-    lacking = F.coalesce("expected_days", _no_rows()) - F.coalesce("available_days", _no_rows())
-    missing = F.greatest(lacking, _no_rows())
-    unmatched_factor = (named == "adj_factor") & (F.col("unmatched_daily_rows") > 0)
-    status = (
-        F.when(whole & (F.col("row_count") == 0), "EMPTY")
-        .when(on_open_days & (F.coalesce("calendar_days", _no_rows()) < F.lit(span)), "CALENDAR_INCOMPLETE")
-        .when((missing > 0) | unmatched_factor, "INCOMPLETE")
-        .otherwise("HEALTHY")
-    )
-    return (
-        rows.withColumns({"missing_days": missing, "status": status})
-        .orderBy("rank")
-        .select(*REPORT)
-    )
+    together = ", ".join(f"max({name}) as {name}" for name in measures)
+    text = f"""
+        with merged as (select dataset, {together} from ({" union all ".join(parts)}) group by dataset),
+        judged as (
+          select dataset, rank, first_date, last_date, last_committed_at,
+                 case when {on_open_days} then coalesce(open_days, 0)
+                      when dataset in ('trade_cal', 'index_daily') then cast({span} as bigint) end as expected_days,
+                 case when not {whole} then coalesce(available_days, 0) end as available_days,
+                 case when {matched} then coalesce(unmatched_daily_rows, 0) end as unmatched_daily_rows,
+                 coalesce(row_count, 0) as row_count, coalesce(calendar_days, 0) as calendar_days
+          from merged where rank is not null),
+        counted as (
+          select *, greatest(coalesce(expected_days, 0) - coalesce(available_days, 0), 0) as missing_days from judged)
+        select concat('{PREFIX}.', dataset) as dataset_id,
+               case when {whole} and row_count = 0 then 'EMPTY'
+                    when {on_open_days} and calendar_days < {span} then 'CALENDAR_INCOMPLETE'
+                    when missing_days > 0 or dataset = 'adj_factor' and unmatched_daily_rows > 0 then 'INCOMPLETE'
+                    else 'HEALTHY' end as status,
+               {", ".join(REPORT[2:])}
+        from counted order by rank"""
+    return spark.sql(text, **{name: tables[name] for name in DATASETS}, commits=ledger)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["trade_date", "ts_code"]
+# Rows that Spark estimates below this are ordered in one partition, without a count.
+SMALL_BYTES = 32 << 20
 # A range has at least so many rows, so that small results don't become many partitions.
 LEAST_ROWS = 10_000
 # Quantiles of a heavy day's codes, and the bytes of a code that tell them apart.
@@ -68,10 +70,17 @@ def range_id(counted: DataFrame, partitions: int) -> tuple[Column, int]:
     return F.least(F.coalesce(number, later), F.lit(ranges - 1)), ranges
 
 
+def estimated_bytes(rows: DataFrame) -> int:
+    """Spark's own estimate, by which it also chooses joins."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def ordered(rows: DataFrame, counted: DataFrame, partitions: int | None = None) -> DataFrame:
     """`rows` by day, then security. `counted` has the keys of the same rows, or of what they are made from."""
     if partitions is None:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if estimated_bytes(counted) < SMALL_BYTES:
+        return rows.repartition(1).sortWithinPartitions(*KEY)
     number, ranges = range_id(counted.select(*KEY), partitions)
     return rows.repartitionById(ranges, number).sortWithinPartitions(*KEY)
 

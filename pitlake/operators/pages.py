@@ -8,23 +8,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REQUEST = ["partition_id", "variant"]
+PRINT = ["n", "low", "high", "parity"]
 
 
-def page_rows(rows: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Size and first-row hash of each received page, from its landed rows; a NULL isn't an absent column."""
-    cells = [cell for name in columns for cell in (F.col(name), F.col(name).isNull())]
-    return rows.groupBy(*REQUEST, "page").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(F.xxhash64(*cells), F.struct(*order) if len(order) > 1 else F.col(order[0])).alias("first_row"),
-    )
+def row_hash(columns: Sequence[str]) -> Column:
+    """A NULL isn't an absent column."""
+    return F.xxhash64(*[cell for name in columns for cell in (F.col(name), F.col(name).isNull())])
+
+
+def fingerprint(row: Column, copies: Column) -> list[Column]:
+    """Size and content of a group of rows, in whatever order they come: three numbers that add up on the map side.
+
+    Two parts of the row hashes are summed, and all of them are combined by exclusive or.
+    """
+    part = (1 << 24) - 1
+    return [
+        F.sum(copies).alias("n"),
+        F.sum(copies * row.bitwiseAND(part)).alias("low"),
+        F.sum(copies * F.shiftrightunsigned(row, 24).bitwiseAND(part)).alias("high"),
+        F.bit_xor(F.when(copies % 2 == 1, row).otherwise(F.lit(0).cast("long"))).alias("parity"),
+    ]
+
+
+def page_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Size and fingerprint of each received page, from its landed rows."""
+    return rows.groupBy(*REQUEST, "page").agg(*fingerprint(row_hash(columns), F.lit(1).cast("long")))
 
 
 def page_audit(manifest: DataFrame, pages: DataFrame, repeated_keys: DataFrame) -> DataFrame:
-    """One verdict per request.
+    """One verdict per request. A page stands still if it holds just the rows of the page before it.
 
     ``manifest`` has one row per page asked for (``page`` from 0, ``page_offset``, ``has_columns``),
     ``pages`` is ``page_rows`` and ``repeated_keys`` the keys met on more than one page. Each page is
@@ -36,11 +52,11 @@ def page_audit(manifest: DataFrame, pages: DataFrame, repeated_keys: DataFrame)
     )
     before = seen.select(
         *REQUEST, (F.col("page") + 1).alias("page"),
-        (F.col("page_offset") + F.col("n")).alias("due"), F.col("first_row").alias("row_before"),
+        (F.col("page_offset") + F.col("n")).alias("due"), F.struct(*PRINT).alias("print_before"),
     )
     stepped = seen.join(before, [*REQUEST, "page"], "left").select(
         *REQUEST, "page", "n", "has_columns",
-        (F.col("row_before") == F.col("first_row")).alias("stuck"),
+        ((F.col("n") > 0) & (F.col("print_before") == F.struct(*PRINT))).alias("stuck"),
         (F.col("page_offset") != F.coalesce("due", F.lit(0).cast("long"))).alias("gap"),
     )
     verdict = stepped.groupBy(*REQUEST).agg(

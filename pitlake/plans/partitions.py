@@ -86,12 +86,12 @@ def calendar_days(bounds: DataFrame, dataset_id: str) -> DataFrame:
 def open_dates(
     trade_cal: DataFrame, start: date | None, end: date | None, exchange: str = CALENDAR_EXCHANGE
 ) -> DataFrame:
-    """Open days of an exchange in a closed range."""
+    """Open days of an exchange in a closed range, in order."""
     return trade_cal.where(
         (F.col("exchange") == exchange)
         & within(F.col("cal_date"), start, end)
         & (F.col("is_open") == 1)
-    ).select("cal_date")
+    ).select("cal_date").orderBy("cal_date")
 
 
 def trading_days(open_dates: DataFrame, dataset_id: str) -> DataFrame:
@@ -118,3 +118,44 @@ def index_months(bounds: DataFrame, dataset_id: str, codes: Sequence[str] | Colu
         request_params=_json(index_code=code, start_date=first, end_date=last),
         scope_key=code, scope_from=first, scope_to=last,
     )
+
+
+def ids_of(
+    span: DataFrame, open_days: DataFrame, strategies: Sequence[str], codes: Sequence[str]
+) -> DataFrame:
+    """``strategy`` (its place in the list) and ``partition_id`` of all strategies' partitions from one row of bounds.
+
+    Open days are gathered into that row, a calendar's worth of them, so the bounds are looked up once.
+    """
+    listed = F.array(*[F.lit(code) for code in codes])
+    first, last = F.col("start"), F.col("end")
+    months = F.filter(
+        F.sequence(F.trunc("start", "MM"), last, F.expr("interval 1 month")), lambda m: F.last_day(m) <= last
+    )
+
+    def of_day(day: Column) -> Column:
+        return F.concat(F.lit("trade_date="), day.cast("string"))
+
+    made = {
+        "full": lambda: F.array(F.lit("full")),
+        "calendar_year": lambda: F.transform(
+            F.sequence(F.year(first), F.year(last)),
+            lambda year: F.concat(F.lit(f"exchange={CALENDAR_EXCHANGE}/year="), year.cast("string")),
+        ),
+        "calendar_day": lambda: F.transform(F.sequence(first, last), of_day),
+        "trading_day": lambda: F.transform("open_days", of_day),
+        "index_month": lambda: F.flatten(F.transform(
+            months,
+            lambda month: F.transform(
+                listed,
+                lambda code: F.concat(F.lit("index_code="), code, F.lit("/month="), F.date_format(month, "yyyy-MM")),
+            ),
+        )),
+    }
+    days = open_days.agg(F.collect_list("cal_date").alias("open_days"))
+    known = span.withColumn("open_days", days.scalar()) if "trading_day" in strategies else span
+    each = F.array(*[
+        F.struct(F.lit(place).alias("strategy"), made[name]().alias("ids")) for place, name in enumerate(strategies)
+    ])
+    found = known.select(F.explode(each).alias("of")).select("of.strategy", F.explode("of.ids").alias("partition_id"))
+    return found

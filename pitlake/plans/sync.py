@@ -8,10 +8,11 @@ the good ones are committed.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.functions.params import (
@@ -22,14 +23,13 @@ from pitlake.functions.params import (
     required_range,
     yesterday,
 )
-from pitlake.operators.checks import (
-    BATCH, empty_answer, missing_columns, missing_variants, page_faults, verdicts,
-)
+from pitlake.functions.typing import LANDED_DATE
+from pitlake.operators.checks import BATCH, missing_columns, scope_columns, staged, staged_verdicts
 from pitlake.plans import partitions
 from pitlake.plans.ledger import already_done, pending, sync_counts, sync_results
 from pitlake.sources.datasets import DATASETS, DEFAULT_INDEX_CODES, Dataset, get_dataset
-from pitlake.sources.lake import Lake
-from pitlake.sources.landing import Source, drop_exact_copies, land_typed
+from pitlake.sources.lake import ASIDE, MARKS, Lake
+from pitlake.sources.landing import Source
 
 # What a full and an index-only update bring in, in this order. Masters are always
 # refreshed; dated datasets only fill what is missing.
@@ -63,6 +63,11 @@ class SyncFailed(RuntimeError):
         self.report = report
 
 
+def run_id(batch: str, dataset_id: Column) -> Column:
+    """A function of batch and partition, so a retried task writes the same one."""
+    return F.md5(F.concat_ws("|", F.lit(batch), dataset_id, BATCH))
+
+
 class Synchronizer:
     def __init__(self, lake: Lake, landing: Source) -> None:
         self.lake = lake
@@ -110,10 +115,8 @@ class Synchronizer:
         ledger = self.lake.ledger()
         done_before = ledger.limit(0) if refresh else ledger
         batch = uuid.uuid4().hex
-        # A run id is a function of batch and partition, so a retried task writes the same one.
-        run_id = F.md5(F.concat_ws("|", F.lit(batch), "dataset_id", "partition_id"))
         skipped = already_done(plan, done_before)
-        started = pending(plan, done_before).withColumn("run_id", run_id)
+        started = pending(plan, done_before).withColumn("run_id", run_id(batch, F.col("dataset_id")))
         started_path = self.lake.path("meta", "started", f"batch={batch}")
         started.write.parquet(started_path)
         skipped_path = self.lake.path("meta", "skipped", f"batch={batch}")
@@ -159,36 +162,25 @@ class Synchronizer:
         lacking = missing_columns(dataset, landed)
         if lacking:
             raise ValueError(f"{dataset.id} lacks columns: {', '.join(lacking)}")
-        # Ids are folder names: their range prunes the landing's folders, the join chooses among them.
-        ids = started.agg(F.min(BATCH).alias("low"), F.max(BATCH).alias("high")).first()
-        near = landed.where(F.col(BATCH).between(ids["low"], ids["high"]))
-        asked = near.join(started.select(BATCH), BATCH, "left_semi")
-        variants = None
-        if dataset.variants and "variant" in landed.columns:
-            variants = missing_variants(dataset, asked)
-            asked = asked.where(~empty_answer(dataset))
-        # A source without a manifest came undivided; listed pages are checked before exact copies go.
+        # Ids are folder names, so just the planned folders are read. They are planned partitions, never data.
+        ids = [row[BATCH] for row in started.select(BATCH).collect()]
+        asked = landed.where(F.col(BATCH).isin(ids))
+        # A source without a manifest came undivided.
         manifest = self.landing.manifest(dataset) if hasattr(self.landing, "manifest") else None
-        paged = None
         if manifest is not None:
+            manifest = manifest.where(F.col(BATCH).isin(ids))
             if "page" not in asked.columns:
                 asked = asked.withColumn("page", F.lit(None).cast("int"))
-            listed = manifest.join(started.select(BATCH), BATCH, "left_semi")
-            paged = page_faults(dataset, listed, asked)
-        received = drop_exact_copies(dataset, asked)
 
-        # The verdicts decide what is written and what is committed, so they are kept as a table
-        # and not computed twice.
+        # The landed rows are read once: written where readers will look for them, judged there, and seen by readers
+        # only if the ledger names their run. The verdicts decide that, so they are kept as a table.
+        self._write(dataset, staged(dataset, asked, manifest is not None), batch)
         path = self.lake.path("meta", "verdicts", f"batch={batch}")
-        computed = verdicts(dataset, received, started, variants, paged)
+        computed = staged_verdicts(dataset, self.lake.staged(dataset, started), started, manifest)
         computed.write.parquet(path)
         checked = self.spark.read.schema(computed.schema).parquet(path)
         good = checked.where(F.col("error_message").isNull())
 
-        accepted = received.join(
-            good.select(BATCH, "run_id", "scope_key", "scope_from"), BATCH
-        )
-        self._write(dataset, accepted)
         commits = good.select(
             "dataset_id", "partition_id", "partition_values", "row_count", "run_id",
             F.current_timestamp().alias("committed_at"),
@@ -205,24 +197,30 @@ class Synchronizer:
         )
         return checked
 
-    def _write(self, dataset: Dataset, accepted: DataFrame) -> None:
-        typed = land_typed(dataset, accepted, "run_id", "scope_key", "scope_from")
-        if dataset.strategy == "calendar_year":
-            typed = typed.withColumns(
-                {"exchange": F.col("scope_key"), "year": F.substring("scope_from", 1, 4)}
-            )
+    def _write(self, dataset: Dataset, rows: DataFrame, batch: str) -> None:
+        """Every partition's rows into a folder of its run, named by its id and not by what its rows say."""
+        scope = scope_columns(dataset)
+        first = scope["scope_from"]
+        if dataset.strategy in ("calendar_day", "trading_day"):
+            places = {"trade_date": F.to_date(first, LANDED_DATE)}
+        elif dataset.strategy == "calendar_year":
+            places = {"exchange": scope["scope_key"], "year": F.substring(first, 1, 4)}
         elif dataset.strategy == "index_month":
-            month = F.concat_ws(
-                "-", F.substring("scope_from", 1, 4), F.substring("scope_from", 5, 2)
-            )
-            typed = typed.withColumns({"index_code": F.col("scope_key"), "month": month})
+            month = F.concat_ws("-", F.substring(first, 1, 4), F.substring(first, 5, 2))
+            places = {"index_code": scope["scope_key"], "month": month}
+        else:
+            places = {}
+        run = run_id(batch, F.lit(dataset.id))
+        places["run_id"] = F.when(F.col("_aside"), F.concat(run, F.lit(ASIDE))).otherwise(run)
         folders = [*dataset.folders, "run_id"]
+        marks = [F.col(name).cast(MARKS[name].dataType).alias(name) for name in MARKS.names]
+        kept = [name for name in dataset.columns if name not in places]
+        placed = rows.select(*kept, *marks, *[place.alias(name) for name, place in places.items()])
         # Rebalancing brings a partition's rows together into files of the advisory size; adaptive
         # execution merges small partitions and splits a hot one over several tasks. Rows are
         # sorted by key inside a file, so that row groups can be skipped by security.
-        rows = typed.drop("scope_key", "scope_from").hint("rebalance", *folders)
         inner = [name for name in dataset.not_null if name not in folders]
-        rows.sortWithinPartitions(*folders, *inner).write.mode("append").partitionBy(
+        placed.hint("rebalance", *folders).sortWithinPartitions(*folders, *inner).write.mode("append").partitionBy(
             *folders
         ).parquet(self.lake.path("tables", dataset.name))
 
@@ -253,19 +251,29 @@ class Synchronizer:
         return reports
 
 
-def update_plan(plans: dict[str, DataFrame], ledger: DataFrame, steps, refreshed) -> DataFrame:
-    """How many partitions each step of an update has and how many are still to be brought in."""
-    merged = None
-    for step, name in enumerate(steps, start=1):
-        rows = plans[name]
-        todo = rows if name in refreshed else pending(rows, ledger)
-        tagged = rows.select("dataset_id", "partition_id", F.lit(0).alias("todo")).unionByName(
-            todo.select("dataset_id", "partition_id", F.lit(1).alias("todo"))
-        ).withColumn("step", F.lit(step))
-        merged = tagged if merged is None else merged.unionByName(tagged)
-    return merged.groupBy("step", "dataset_id").agg(
-        F.count_if(F.col("todo") == 0).alias("planned"),
-        F.count_if(F.col("todo") == 1).alias("pending"),
+def update_plan(
+    span: DataFrame, open_days: DataFrame, ledger: DataFrame, steps: Sequence[str], refreshed: Collection[str],
+    index_codes: Sequence[str] = DEFAULT_INDEX_CODES,
+) -> DataFrame:
+    """How many partitions each step of an update has and how many are still to be brought in.
+
+    ``span`` has one row of ``start`` and ``end``, ``open_days`` the column ``cal_date``. The ids of a strategy are generated
+    once, each tagged with the steps it stands for; all are met with the ledger by one join.
+    """
+    strategies: dict[str, list[int]] = {}
+    for number, name in enumerate(steps, start=1):
+        strategies.setdefault(DATASETS[name].strategy, []).append(number)
+    ids = partitions.ids_of(span, open_days, list(strategies), index_codes)
+    numbers = F.array(*[F.array(*[F.lit(n) for n in found]) for found in strategies.values()])
+    names = F.array(*[F.lit(DATASETS[name].id) for name in steps])
+    planned = ids.select("partition_id", F.explode(F.element_at(numbers, F.col("strategy") + 1)).alias("step"))
+    planned = planned.withColumn("dataset_id", F.element_at(names, F.col("step")))
+    done = ledger.select("dataset_id", "partition_id", F.lit(True).alias("done"))
+    met = planned.join(done, ["dataset_id", "partition_id"], "left")
+    anew = F.col("dataset_id").isin([DATASETS[name].id for name in refreshed])
+    return met.groupBy("step", "dataset_id").agg(
+        F.count(F.lit(1)).alias("planned"),
+        F.count_if(anew | F.col("done").isNull()).alias("pending"),
         F.min("partition_id").alias("first_partition"),
         F.max("partition_id").alias("last_partition"),
     )

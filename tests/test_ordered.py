@@ -19,6 +19,7 @@ START = date(2024, 1, 1)
 @pytest.fixture(autouse=True)
 def small_ranges(monkeypatch):
     monkeypatch.setattr(module, "LEAST_ROWS", 10)
+    monkeypatch.setattr(module, "SMALL_BYTES", 0)
 
 
 def rows_of(name):
@@ -71,3 +72,10 @@ def test_nothing_is_sampled(spark):
     table = spark.createDataFrame(rows_of("one heavy day"), SCHEMA)
     plan = plan_of(ordered(table, table, 8))
     assert "rangepartitioning" not in plan and "shufflepartitionidpassthrough" in plan
+
+
+def test_small_results_are_not_counted(spark, monkeypatch):
+    monkeypatch.setattr(module, "SMALL_BYTES", 32 << 20)
+    monkeypatch.setattr(module, "range_id", None)
+    table = spark.createDataFrame(rows_of("even"), SCHEMA).repartition(3)
+    assert [tuple(r) for r in ordered(table, table, 8).collect()] == sorted(rows_of("even"), key=key)

@@ -586,18 +586,18 @@ oracle(
     "page_audit", "",
     """with received as (
   select 'trade_date=' || strftime(ts, '%Y-%m-%d') as partition_id, event_type as variant,
-         hour(ts) as page, count(*) as n, arg_min(event_id % 97, event_id) as first_row,
+         hour(ts) as page, count(*) as n, list_sort(list(event_id % 97)) as content,
          day(any_value(ts)) as d
   from events group by 1, 2, 3),
 asked as (
-  select q.partition_id, q.variant, h.page, coalesce(r.n, 0) as n, r.first_row, q.d
+  select q.partition_id, q.variant, h.page, coalesce(r.n, 0) as n, r.content, q.d
   from (select partition_id, variant, any_value(d) as d from received group by 1, 2) q
   cross join (select unnest(generate_series(0, 24)) as page) h
   left join received r on r.partition_id = q.partition_id and r.variant = q.variant
     and r.page = h.page
   where h.page < 24 or q.d % 7 <> 0),
 stepped as (
-  select *, lag(first_row) over w = first_row as stuck,
+  select *, lag(content) over w = content as stuck,
          (d * 24 + page) % 131 = 0 or (page > 0 and (d * 24 + page - 1) % 131 = 0) as gap,
          not (page = 24 and d % 11 = 0) as has_columns
   from asked window w as (partition by partition_id, variant order by page)),
@@ -634,3 +634,16 @@ oracle(
     where day(trade_date) % 7 <> 0 and day(trade_date) % 11 <> 0 and day(trade_date) % 13 <> 0""",
 )
 oracle("sync_csv_by_name", "index_daily", " select ts_code, trade_date, open, close, vol from index_daily")
+
+oracle(
+    "sync_page_copies", "suspend_d",
+    " select distinct ts_code, trade_date, suspend_timing, suspend_type from suspend_d where day(trade_date) % 7 <> 0",
+)
+for _name, _where in {
+    "stock_basic": "true", "trade_cal": "true", "index_daily": "trade_date <= date '2024-01-31'",
+    "adj_factor": "trade_date in (select cal_date from trade_cal where is_open = 1 and cal_date <= date '2024-01-31')",
+    "index_weight": "index_code = 'click' and trade_date <= date '2024-01-31'",
+}.items():
+    _columns = ", ".join(f'"{column}"' for column in DATASETS[_name].columns)
+    oracle(f"update_{_name}", f"{_name} trade_cal".replace("trade_cal trade_cal", "trade_cal"), f" select {_columns} from {_name} where {_where}")
+oracle("lake_members_asof", "index_weight", f"{_members('click', '2024-01-25')} select * from members")

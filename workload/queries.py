@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -331,17 +332,11 @@ def plan_pending(t):
 
 
 def _update_steps(t: Derived, masters: list[str], dated: list[str]) -> DataFrame:
-    span, days = _span(t, "events", "ts"), partitions.open_dates(t.dataset("trade_cal"), None, None)
-    build = {
-        "full": lambda name: partitions.full(span, name),
-        "calendar_year": lambda name: partitions.calendar_years(span, name),
-        "calendar_day": lambda name: partitions.calendar_days(span, name),
-        "trading_day": lambda name: partitions.trading_days(days, name),
-        "index_month": lambda name: partitions.index_months(span, name, DEFAULT_INDEX_CODES),
-    }
-    steps = [*masters, *dated]
-    plans = {name: build[DATASETS[name].strategy](DATASETS[name].id) for name in steps}
-    return update_plan(plans, ledger.latest_commits(t["commits"]), steps, set(masters))
+    """Span and open days come from one look at the event days, of which the calendar is made."""
+    days = partitions.open_dates(t.dataset("trade_cal"), None, None)
+    return update_plan(
+        _span(t, "events", "ts"), days, ledger.latest_commits(t["commits"]), [*masters, *dated], masters
+    )
 
 
 @query
@@ -555,7 +550,7 @@ def page_audit(t):
         F.col("user_id").alias("code"),
         (F.col("event_id") % 97).alias("cell"),
     )
-    received = pages.page_rows(rows, ["cell"], ["event_id"])
+    received = pages.page_rows(rows, ["cell"])
     number = F.dayofmonth(F.to_date(F.substring_index("partition_id", "=", -1)))
     hours = F.explode(F.sequence(F.lit(0), F.lit(24))).alias("page")
     asked = rows.select(*pages.REQUEST).distinct().select(*pages.REQUEST, hours)
@@ -673,6 +668,93 @@ def sync_bad_pages(t):
     return lake.table("index_daily").select("ts_code", "trade_date", "open", "close", "vol")
 
 
+@query
+def sync_page_copies(t):
+    """An event table in pages: exact copies may cross a page's edge, a page that came twice is rejected."""
+    root, day = _work_dir(t.spark), F.to_date("trade_date", LANDED_DATE)
+    rows = as_text(t, "suspend_d").withColumn("partition_id", F.concat(F.lit("trade_date="), day.cast("string")))
+    rows = rows.withColumn("page", F.pmod(F.xxhash64("ts_code", "suspend_timing"), F.lit(2)).cast("int"))
+    number = F.dayofmonth(day)
+    # Every third day the first page's rows of one kind come on the second page too; every seventh day all of them do.
+    across = rows.where((F.col("page") == 0) & (number % 3 == 0) & (F.col("suspend_type") == "S"))
+    twice = rows.where((F.col("page") == 0) & (number % 7 == 0))
+    landed = rows.where((F.col("page") == 0) | (number % 7 != 0)).unionByName(
+        across.where(number % 7 != 0).withColumn("page", F.lit(1))
+    ).unionByName(twice.withColumn("page", F.lit(1)))
+    sizes = landed.groupBy("partition_id", "page").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("partition_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    asked = landed.select("partition_id").distinct().select("partition_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("page"))
+    manifest = asked.join(sizes, ["partition_id", "page"], "left").select(
+        "partition_id", "page", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("page_offset"), F.lit(True).alias("has_columns")
+    )
+    landed.write.partitionBy("partition_id", "page").parquet(f"{root}/landing/suspend_d")
+    manifest.write.parquet(f"{root}/landing/_pages/suspend_d")
+    calendar = as_text(t, "trade_cal").withColumns({"partition_id": F.lit("exchange=SSE/year=2024"), "is_open": F.lit("1")})
+    calendar.write.partitionBy("partition_id").parquet(f"{root}/landing/trade_cal")
+    lake = Lake(t.spark, f"{root}/lake")
+    _sync_some(lake, LandingZone(t.spark, f"{root}/landing"), "suspend_d", start=date(2024, 1, 1), end=date(2024, 1, 30))
+    return lake.table("suspend_d")
+
+
+#: A dataset of each layout, in the order an update brings them in.
+LAYOUTS = ["stock_basic", "trade_cal", "adj_factor", "index_daily", "index_weight"]
+
+
+def _landed_layouts(t: Derived, root: str) -> None:
+    def land(name: str, partition_id, *rows: DataFrame) -> None:
+        landed = as_text(t, name) if not rows else rows[0]
+        landed.withColumn("partition_id", partition_id).write.partitionBy("partition_id").parquet(f"{root}/landing/{name}")
+
+    def iso(name: str):
+        return F.to_date(name, LANDED_DATE)
+
+    of_day = F.concat(F.lit("trade_date="), iso("trade_date").cast("string"))
+    land("stock_basic", F.lit("full"))
+    land("trade_cal", F.concat(F.lit("exchange=SSE/year="), F.year(iso("cal_date")).cast("string")))
+    land("adj_factor", of_day)
+    land("index_daily", of_day)
+    month = F.date_format(iso("trade_date"), "yyyy-MM")
+    land("index_weight", F.concat(F.lit("index_code="), F.col("index_code"), F.lit("/month="), month))
+
+
+@lru_cache(maxsize=4)
+def _updated(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake after one update of all five layouts; its folder stays for the session's other looks at it."""
+    t = opened(spark, sf_dir)
+    root = _work_dir(spark)
+    _landed_layouts(t, root)
+    lake = Lake(spark, f"{root}/lake")
+    sync = Synchronizer(lake, LandingZone(spark, f"{root}/landing"))
+    reports = sync.update(LAYOUTS[:1], LAYOUTS[1:], date(2024, 1, 1), date(2024, 1, 31), [INDEX])
+    if any(report.failed for report in reports):
+        raise AssertionError("a partition was rejected")
+    return lake
+
+
+def _layout(name: str) -> None:
+    """Registers what one dataset holds after the update."""
+    QUERIES[f"update_{name}"] = lambda spark, sf_dir: _updated(spark, sf_dir).table(name)
+
+
+for _name in LAYOUTS:
+    _layout(_name)
+
+
+@query
+def lake_members_asof(t):
+    """Weights read back from a lake: the month is chosen by the ledger, another month lies behind it."""
+    root, weights = _work_dir(t.spark), as_text(t, "index_weight")
+    day = F.to_date("trade_date", LANDED_DATE)
+    earlier = weights.withColumns({"trade_date": F.date_format(F.add_months(day, -1), LANDED_DATE), "weight": F.lit("0.5")})
+    rows, day = weights.unionByName(earlier.distinct()), F.to_date("trade_date", LANDED_DATE)
+    folder = F.concat(F.lit("index_code="), F.col("index_code"), F.lit("/month="), F.date_format(day, "yyyy-MM"))
+    rows = rows.dropDuplicates(["index_code", "con_code", "trade_date"])
+    rows.withColumn("partition_id", folder).write.partitionBy("partition_id").parquet(f"{root}/landing/index_weight")
+    market = MarketLake(t.spark, f"{root}/lake", f"{root}/landing")
+    market.sync("index_weight", start=date(2023, 12, 1), end=date(2024, 1, 31), index_codes=[INDEX])
+    return market.members(INDEX, MEMBER_DAY)
+
+
 @query
 def sync_csv_by_name(t):
     """CSV files whose columns stand in another order than the declared one."""
