@@ -11,9 +11,12 @@ document. No task holds more than a block, a pair's count or the pairs of one id
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,7 @@ from .common import kept, mapped, slices, text_frame
 SHIFT = 15  # bits of a pair's key for the second tokenizer's id
 BLOCK_ENTRIES = 2_000_000  # (document, pair) entries after which a block is closed
 BLOCK_DOCUMENTS = 1 << 16  # numbers of documents in a block fit 16 bits
-CACHE_CHUNKS, CACHE_CHARS = 300_000, 16 << 20  # what a Python worker remembers; then it starts again with none
+CACHE_CHUNKS, CACHE_CHARS = 300_000, 24 << 20  # what a Python worker remembers; then it starts again with none
 PART = 1 << 20  # characters of a text looked at together
 #: No blank after one of these starts a chunk: they may be white space to one of the tokenizers.
 SPACES = r"\s\u180e\u200b\ufeff"
@@ -47,6 +50,7 @@ class Aligner:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a, self.b = Tokenizer.from_str(byte_level_json), SentencePieceProcessor(model_proto=piece_model)
         self.a.encode_special_tokens = True
         self.bytes_a = byte_level_tokens(self.a)
@@ -73,15 +77,21 @@ class Aligner:
         ids_b = self.b.encode([x[1:] for x in chunks], num_threads=1)
         ids_b = [ids or [self.blank] for ids in ids_b]  # a lone blank: nothing is left to encode
         whole = [x.encode() for x in chunks]
-        good = np.array(
-            [b"".join([self.bytes_a[i] for i in a]) == x == b"".join([self.bytes_b[i] for i in b]) for a, b, x in zip(ids_a, ids_b, whole, strict=True)],
-            np.bool_,
-        )
+        length = np.fromiter(map(len, whole), np.int64, len(whole))
+        size_a, size_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((ids_a, size_a), (ids_b, size_b)))
+        good = np.ones(len(chunks), np.bool_)
+        for flat, size, tokens, lengths in ((flat_a, size_a, self.bytes_a, self.length_a), (flat_b, size_b, self.bytes_b, self.length_b)):
+            good &= np.bincount(np.repeat(np.arange(len(size)), size), lengths[flat], len(size)) == length
+            if b"".join(map(tokens.__getitem__, flat.tolist())) != b"".join(whole):
+                stop = np.cumsum(size).tolist()
+                parts = (b"".join(map(tokens.__getitem__, flat[i:j].tolist())) for i, j in zip([0, *stop], stop, strict=False))
+                good &= np.fromiter((x == y for x, y in zip(parts, whole, strict=True)), np.bool_, len(whole))
         rows = np.flatnonzero(good)
-        size_a, size_b = (np.array([len(ids[r]) for r in rows], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([i for r in rows for i in ids[r]], np.int64) for ids in (ids_a, ids_b))
+        flat_a, flat_b = flat_a[np.repeat(good, size_a)], flat_b[np.repeat(good, size_b)]
+        size_a, size_b = size_a[good], size_b[good]
         end_a, end_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
-        ends = np.cumsum(np.array([len(whole[r]) for r in rows], np.int64))
+        ends = np.cumsum(length[good])
         # Between two cuts lies one token of each kind, and tokens that overlap do so between two cuts: a link each.
         cuts = np.union1d(end_a, end_b)
         at_a, at_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
@@ -103,7 +113,7 @@ class Aligner:
             mark[:-1] = np.where(group[1:] == group[:-1], 1, np.where(group[1:] >> 1 == group[:-1] >> 1, 2, 3))
             stop = np.cumsum(size_a + size_b)
             mark[stop - 1] = 0
-            written = [self.written[i] for i in (token * 4 + mark).tolist()]
+            written = list(map(self.written.__getitem__, (token * 4 + mark).tolist()))
             stop = stop.tolist()
             texts = ["".join(written[i:j]) for i, j in zip([0, *stop[:-1]], stop, strict=True)]
         else:
@@ -120,13 +130,15 @@ class Aligner:
 
     def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The known number of every chunk of the texts, in order, and how many each text has."""
-        found = [CHUNK.findall(text) for text in texts]
-        flat = [chunk for chunks in found for chunk in chunks]
+        found = list(map(CHUNK.findall, texts))
+        flat = list(chain.from_iterable(found))
         if len(self.index) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
             self.forget()
-        new = [chunk for chunk in dict.fromkeys(flat) if chunk not in self.index]
-        for at in range(0, len(new), 20_000):
-            self.learn(new[at : at + 20_000])
+        new = list(set(flat).difference(self.index))
+        gc.disable()  # nothing here makes cycles, and looking for them among so many small lists takes a sixth of the time
+        for at in range(0, len(new), 10_000):
+            self.learn(new[at : at + 10_000])
+        gc.enable()
         return np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)), np.array([len(c) for c in found], np.int64)
 
 
