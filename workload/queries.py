@@ -569,8 +569,12 @@ def page_audit(t):
 
 
 def _work_dir(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or else below the session's warehouse."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder in the cluster's shared checkpoint folder, or else, on one machine, below the session's warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/pitlake-{uuid.uuid4().hex}"
 
 
