@@ -22,8 +22,12 @@ def table(sf_dir: str, name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; where none is named, one below the session's warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The shared folder the cluster names; on one machine, where none is named, one below the session's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = spark.conf.get("spark.sql.warehouse.dir")
     return f"{named.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 

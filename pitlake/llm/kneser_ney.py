@@ -126,6 +126,10 @@ def discount_of(count: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(count, 3)]
 
 
+#: Written beside the arrays once all of them are.
+MARK = "whole"
+
+
 @dataclass
 class Model:
     folder: str
@@ -196,6 +200,7 @@ def train(documents: DataFrame, shards: int | None = None) -> Model:
     parts = pairs.where("shard >= 0").select("shard", "body", "size").groupBy("shard")
     word_sums = parts.applyInArrow(add_words, f"{fields}, many long, words long, tokens long").groupBy().sum().first()
     sums, word_sums = [x or 0 for x in sums], [x or 0 for x in word_sums]
+    write_array(folder, MARK, np.array([shards]))
     return Model(
         folder, int(shards), word_sums[6], word_sums[5], discounts(sums[:4]), discounts(word_sums[:4]), sums[4],
         (word_sums[0], word_sums[1], word_sums[4]),
@@ -221,7 +226,9 @@ class Reader:
         key = f"{name}-{shard}"
         if key not in self.maps:
             path = f"{self.model.folder}/{key}.npy"
-            # A shard without rows has no file.
+            # A shard without rows has no file; where the mark isn't seen either, the folder isn't shared.
+            if not os.path.exists(path) and not os.path.exists(f"{self.model.folder}/{MARK}.npy"):
+                raise FileNotFoundError(f"this worker doesn't see the model in {self.model.folder}")
             self.maps[key] = np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros((0, 4) if "counts" in name else 0, np.uint32)
         return self.maps[key]
 

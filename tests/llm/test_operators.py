@@ -393,3 +393,30 @@ def test_quality_on_odd_tables(spark):
         assert sorted(r.doc_id for r in found) == [i for i, _ in TEXTS]
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
     assert quality.score_held_out(frame(spark, []), labels).count() == 0
+
+
+def test_a_worker_that_does_not_see_the_model_fails(tmp_path):
+    """No array and no mark: the folder isn't shared, and the scores would be those of an empty model."""
+    model = kneser_ney.Model(str(tmp_path / "elsewhere"), 2, 10, 5, (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), 9, (1, 1, 1))
+    words = np.array([1, 2, 3], np.uint64)
+    with pytest.raises(FileNotFoundError, match="elsewhere"):
+        kneser_ney.Reader(model).word_counts(words)
+    kneser_ney.write_array(model.folder, kneser_ney.MARK, np.array([2]))
+    assert kneser_ney.Reader(model).word_counts(words)[0].tolist() == [0, 0, 0]
+
+
+def test_a_cluster_names_its_shared_folder():
+    from types import SimpleNamespace
+
+    from pitlake.llm.common import shared_dir
+
+    settings = {"spark.sql.warehouse.dir": "/w"}
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(session("local[2]")).startswith("/w/stage-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"))
+    settings["spark.checkpoint.dir"] = "/shared/"
+    assert shared_dir(session("spark://host:7077")).startswith("/shared/stage-")
