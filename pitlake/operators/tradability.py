@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.functions.predicates import listed_on
@@ -52,15 +52,15 @@ def suspension_daily(suspend_d: DataFrame) -> DataFrame:
     )
 
 
-def bucket(day: Column) -> Column:
+def _year_of(day: str) -> str:
     """The year a fact or a span of time is dealt by; what lies before or after the known years is in the outer ones."""
-    return F.least(F.greatest(F.year(day), F.lit(FIRST_YEAR)), F.lit(date.today().year))
+    return f"least(greatest(year({day}), {FIRST_YEAR}), {date.today().year})"
 
 
-def in_buckets(spans: DataFrame, start: str, stop: str) -> DataFrame:
-    """A row of a span for every bucket it touches; an open span reaches the last one."""
-    last = F.when(F.col(stop).isNull(), date.today().year).otherwise(bucket(F.col(stop)))
-    return spans.where(F.col(start).isNotNull()).withColumn(BUCKET, F.explode(F.sequence(bucket(F.col(start)), last)))
+def _years_of(start: str, stop: str) -> str:
+    """Every year a span touches; an open span reaches the last one."""
+    last = f"if({stop} is null, {date.today().year}, {_year_of(stop)})"
+    return f"explode(sequence({_year_of(start)}, {last}))"
 
 
 def trade_constraints(
@@ -71,37 +71,45 @@ def trade_constraints(
     Limits, events and bars are one union of narrow rows, dealt once by security and year and brought together by one
     aggregate on the key, which is unique in limits and bars; security-days with a bar alone are dropped. A filter
     on code or day reaches every scan. ``bucketed`` keeps the year, by which joins with spans
-    of time find the rows already dealt.
+    of time find the rows already dealt. One text, so that the plan is analysed once.
     """
-    def dealt(rows: DataFrame, *columns) -> DataFrame:
-        return rows.select(*KEY, bucket(F.col("trade_date")).alias(BUCKET), *columns)
-
     # Events of a day combine before they are moved: any number of them may be of one security.
     keyed = suspend_d.where(F.col("ts_code").isNotNull() & F.col("trade_date").isNotNull())
-    event_days = dealt(suspension_daily(keyed), "suspend_timing", "is_suspended", "is_resumed")
-    limits = dealt(stk_limit, *LIMITS, F.lit(True).alias("_wanted"))
-    events = event_days.withColumn("_wanted", F.lit(True))
-    tagged = limits.unionByName(events, allowMissingColumns=True).unionByName(
-        dealt(daily, *BAR), allowMissingColumns=True
-    )
-    values = [*LIMITS, *BAR, "suspend_timing", "is_suspended", "is_resumed", "_wanted"]
-    # The year before the day: the order the rows are aggregated in also serves joins on security and year.
-    dealt_out = tagged.repartition("ts_code", BUCKET)
-    merged = dealt_out.groupBy("ts_code", BUCKET, "trade_date").agg(*[F.max(name).alias(name) for name in values])
-    rows = merged.where("_wanted").withColumns(
-        {name: F.coalesce(name, F.lit(False)) for name in ("is_suspended", "is_resumed")}
-    )
-    halted = F.col("is_suspended")
-    derived = {
-        "suspend_type": F.when(halted & F.col("is_resumed"), "S,R").when(halted, "S").when(F.col("is_resumed"), "R"),
-        "open_at_up_limit": F.col("open") >= F.col("up_limit"),
-        "open_at_down_limit": F.col("open") <= F.col("down_limit"),
-        "locked_up_limit": F.col("low") >= F.col("up_limit"),
-        "locked_down_limit": F.col("high") <= F.col("down_limit"),
-        "can_buy_at_open": F.when(halted, False).otherwise(F.col("open") < F.col("up_limit")),
-        "can_sell_at_open": F.when(halted, False).otherwise(F.col("open") > F.col("down_limit")),
+    kinds = dict.fromkeys([*LIMITS, *BAR], "double") | {
+        "suspend_timing": "string", "is_suspended": "boolean", "is_resumed": "boolean", "_wanted": "boolean",
     }
-    return rows.withColumns(derived).select(*CONSTRAINTS, *([BUCKET] if bucketed else []))
+
+    def tagged(table: str, given: list[str], wanted: bool) -> str:
+        known = {name: name for name in given} | ({"_wanted": "true"} if wanted else {})
+        values = [f"{known.get(name, f'cast(null as {kind})')} as {name}" for name, kind in kinds.items()]
+        return f"select ts_code, trade_date, {_year_of('trade_date')} as {BUCKET}, {', '.join(values)} from {{{table}}}"
+
+    union = " union all ".join([
+        tagged("limits", LIMITS, True), tagged("events", ["suspend_timing", "is_suspended", "is_resumed"], True),
+        tagged("bars", BAR, False),
+    ])
+    together = ", ".join(f"max({name}) as {name}" for name in kinds)
+    kept = [*CONSTRAINTS, *([BUCKET] if bucketed else [])]
+    # The year before the day: the order the rows are aggregated in also serves joins on security and year.
+    text = f"""
+        with dealt as (select /*+ repartition(ts_code, {BUCKET}) */ * from ({union})),
+        merged as (
+          select ts_code, {BUCKET}, trade_date, {together} from dealt group by ts_code, {BUCKET}, trade_date),
+        known as (
+          select * except (is_suspended, is_resumed),
+                 coalesce(is_suspended, false) as is_suspended, coalesce(is_resumed, false) as is_resumed
+          from merged where _wanted),
+        flagged as (
+          select *,
+                 case when is_suspended and is_resumed then 'S,R' when is_suspended then 'S' when is_resumed then 'R' end
+                   as suspend_type,
+                 open >= up_limit as open_at_up_limit, open <= down_limit as open_at_down_limit,
+                 low >= up_limit as locked_up_limit, high <= down_limit as locked_down_limit,
+                 if(is_suspended, false, open < up_limit) as can_buy_at_open,
+                 if(is_suspended, false, open > down_limit) as can_sell_at_open
+          from known)
+        select {", ".join(kept)} from flagged"""
+    return daily.sparkSession.sql(text, limits=stk_limit, events=suspension_daily(keyed), bars=daily)
 
 
 def stock_trade_constraints(
@@ -112,24 +120,28 @@ def stock_trade_constraints(
     Spans of time are spread over the years they touch and join on security and year, as bucketed
     constraints are dealt; so no fact moves again, however large the masters are.
     """
-    if BUCKET not in constraints.columns:
-        constraints = constraints.withColumn(BUCKET, bucket(F.col("trade_date")))
-    stocks = in_buckets(
-        stock_basic.select("ts_code", "symbol", "list_date", "delist_date"), "list_date", "delist_date"
-    )
-    names = in_buckets(name_spans(namechange), "span_start", "span_stop")
-    facts, day = constraints.alias("facts"), F.col("trade_date")
-
-    def same(other: str) -> Column:
-        return (F.col("facts.ts_code") == F.col(f"{other}.ts_code")) & (F.col(f"facts.{BUCKET}") == F.col(f"{other}.{BUCKET}"))
-
-    listed = same("stocks") & listed_on(F.col("list_date"), F.col("delist_date"), day)
-    in_force = (
-        same("names") & (day >= F.col("span_start")) & (F.col("span_stop").isNull() | (day < F.col("span_stop")))
-    )
-    rows = facts.join(stocks.alias("stocks"), listed).join(names.alias("names"), in_force, "left")
-    shown = [F.col(f"facts.{name}") if name in constraints.columns else F.col(name) for name in STOCK_CONSTRAINTS if name != "has_name_history"]
-    return with_names(rows.select(*shown)).select(*STOCK_CONSTRAINTS)
+    bucketed = BUCKET in constraints.columns
+    year = f"facts.{BUCKET}" if bucketed else _year_of("facts.trade_date")
+    stocks = ["symbol", "list_date", "delist_date"]
+    shown = [
+        "named.historical_name is not null as has_name_history" if name == "has_name_history"
+        else f"named.{name}" if name in NAME_COLUMNS else f"stock.{name}" if name in stocks else f"facts.{name}"
+        for name in STOCK_CONSTRAINTS
+    ]
+    text = f"""
+        with stock as (
+          select ts_code, {", ".join(stocks)}, {_years_of("list_date", "delist_date")} as {BUCKET}
+          from {{stock_basic}} where list_date is not null),
+        named as (
+          select *, {_years_of("span_start", "span_stop")} as {BUCKET} from {{spans}} where span_start is not null)
+        select {", ".join(shown)} from {{facts}} as facts
+        join stock on stock.ts_code = facts.ts_code and stock.{BUCKET} = {year}
+          and stock.list_date <= facts.trade_date
+          and (stock.delist_date is null or facts.trade_date < stock.delist_date)
+        left join named on named.ts_code = facts.ts_code and named.{BUCKET} = {year}
+          and facts.trade_date >= named.span_start
+          and (named.span_stop is null or facts.trade_date < named.span_stop)"""
+    return constraints.sparkSession.sql(text, stock_basic=stock_basic, spans=name_spans(namechange), facts=constraints)
 
 
 def stock_trade_constraints_asof(
