@@ -76,7 +76,7 @@ def trade_constraints(
     # Events of a day combine before they are moved: any number of them may be of one security.
     keyed = suspend_d.where(F.col("ts_code").isNotNull() & F.col("trade_date").isNotNull())
     kinds = dict.fromkeys([*LIMITS, *BAR], "double") | {
-        "suspend_timing": "string", "is_suspended": "boolean", "is_resumed": "boolean", "_wanted": "boolean",
+        "is_suspended": "boolean", "is_resumed": "boolean", "_wanted": "boolean",
     }
 
     def tagged(table: str, given: list[str], wanted: bool) -> str:
@@ -85,12 +85,13 @@ def trade_constraints(
         return f"select ts_code, trade_date, {_year_of('trade_date')} as {BUCKET}, {', '.join(values)} from {{{table}}}"
 
     union = " union all ".join([
-        tagged("limits", LIMITS, True), tagged("events", ["suspend_timing", "is_suspended", "is_resumed"], True),
+        tagged("limits", LIMITS, True), tagged("events", ["is_suspended", "is_resumed"], True),
         tagged("bars", BAR, False),
     ])
     together = ", ".join(f"max({name}) as {name}" for name in kinds)
     kept = [*CONSTRAINTS, *([BUCKET] if bucketed else [])]
-    # The year before the day: the order the rows are aggregated in also serves joins on security and year.
+    # Numbers and flags alone are aggregated, by hash. Times are text and join afterwards, on a key
+    # that begins as the rows are dealt; few event days have any.
     text = f"""
         with dealt as (select /*+ repartition(ts_code, {BUCKET}) */ * from ({union})),
         merged as (
@@ -99,6 +100,13 @@ def trade_constraints(
           select * except (is_suspended, is_resumed),
                  coalesce(is_suspended, false) as is_suspended, coalesce(is_resumed, false) as is_resumed
           from merged where _wanted),
+        times as (
+          select /*+ repartition(timed_code, timed_year) */ * from (
+          select ts_code as timed_code, {_year_of("trade_date")} as timed_year, trade_date as timed_day, suspend_timing
+          from {{events}} where suspend_timing is not null)),
+        timed as (
+          select known.*, suspend_timing from known
+          left join times on ts_code = timed_code and {BUCKET} = timed_year and trade_date = timed_day),
         flagged as (
           select *,
                  case when is_suspended and is_resumed then 'S,R' when is_suspended then 'S' when is_resumed then 'R' end
@@ -107,7 +115,7 @@ def trade_constraints(
                  low >= up_limit as locked_up_limit, high <= down_limit as locked_down_limit,
                  if(is_suspended, false, open < up_limit) as can_buy_at_open,
                  if(is_suspended, false, open > down_limit) as can_sell_at_open
-          from known)
+          from timed)
         select {", ".join(kept)} from flagged"""
     return daily.sparkSession.sql(text, limits=stk_limit, events=suspension_daily(keyed), bars=daily)
 

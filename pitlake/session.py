@@ -21,6 +21,8 @@ SETTINGS = {
     # measured to fit, and sort both sides otherwise.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Rows dealt by security and year meet others on (security, year, day) without being dealt again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }

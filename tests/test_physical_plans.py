@@ -57,7 +57,7 @@ def shuffled(spark):
 def test_filters_above_the_constraints_reach_every_scan(tables):
     rows = tradability.trade_constraints(tables["stk_limit"], tables["suspend_d"], tables["daily"])
     found = scans(plan_of(rows.where((F.col("trade_date") == DAY) & (F.col("ts_code") == "a"))))
-    assert len(found) == 3
+    assert len(found) == 4
     for scan in found:
         assert "EqualTo(trade_date,2024-01-15)" in scan and "EqualTo(ts_code,a)" in scan
 
@@ -104,9 +104,9 @@ def test_panel_shuffles_each_table_once(shuffled, tables):
 def test_constraints_deal_every_table_once(shuffled, tables):
     rows = tradability.trade_constraints(tables["stk_limit"], tables["suspend_d"], tables["daily"])
     plan = plan_of(rows)
-    # Limits, bars and event days together; events combine by key before.
-    assert sorted(exchanges(plan)) == ["ts_code, _year", "ts_code, trade_date"]
-    assert "Join" not in plan
+    # Limits, bars and event days together, and the times; events combine by key before (named twice).
+    assert sorted(exchanges(plan)) == ["timed_code, timed_year", "ts_code, _year", "ts_code, trade_date", "ts_code, trade_date"]
+    assert plan.count("SortMergeJoin") <= 2 and "FullOuter" not in plan
     limit_scans = [scan for scan in scans(plan) if "up_limit" in scan]
     assert len(limit_scans) == 1
 
@@ -165,7 +165,7 @@ def test_table_function_argument_is_pushed_down(spark, tables):
     market = MarketLake(spark, tables=tables)
     rows = market.sql("select * from market.stock_trade_constraints_asof(:d)", d=DAY)
     dated = [scan for scan in scans(plan_of(rows)) if "trade_date" in scan]
-    assert len(dated) == 3
+    assert len(dated) == 4
     assert all("EqualTo(trade_date,2024-01-15)" in scan for scan in dated)
 
 
