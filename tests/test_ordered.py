@@ -77,5 +77,7 @@ def test_nothing_is_sampled(spark):
 def test_small_results_are_not_counted(spark, monkeypatch):
     monkeypatch.setattr(module, "SMALL_BYTES", 32 << 20)
     monkeypatch.setattr(module, "range_id", None)
-    table = spark.createDataFrame(rows_of("even"), SCHEMA).repartition(3)
-    assert [tuple(r) for r in ordered(table, table, 8).collect()] == sorted(rows_of("even"), key=key)
+    days = "date_add(date'2024-01-01', cast(id * 7 % 31 as int)) as trade_date"
+    table = spark.range(300).selectExpr(days, "cast(id as string) as ts_code", "cast(id as int) as value")
+    found = [tuple(r) for r in ordered(table, table, 8).collect()]
+    assert found == sorted(found, key=key) and len(found) == 300
