@@ -393,6 +393,49 @@ def test_run_status_rules(spark):
     assert found["alive"][0] == "RUNNING"
 
 
+def run_log(spark, rows):
+    events = spark.createDataFrame(
+        rows, "run_id string, event string, event_ts timestamp, error_type string, error_message string, rows_received long"
+    )
+    for field in RUN_EVENTS:
+        if field.name not in events.columns:
+            events = events.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return events
+
+
+def test_run_status_of_reports_at_one_time(spark):
+    at, later = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [
+        ("text", "FAILED", at, "E", "b" * 5000, 1), ("text", "FAILED", at, "E", "a" * 5000, 2), ("text", "FAILED", at, "F", "0", 3),
+        ("null text", "FAILED", at, "E", "a", 1), ("null text", "FAILED", at, "E", None, 2),
+        ("null type", "FAILED", at, "E", "a", 1), ("null type", "FAILED", at, None, "c", 2), ("null type", "FAILED", at, None, "b", 2),
+        ("same", "FAILED", at, "E", "a", 1), ("same", "FAILED", at, "E", "a", 1), ("same", "FAILED", later, "A", "0", 1),
+        ("good", "FAILED", at, "E", "a", 1), ("good", "FAILED", at, "E", "b", 1), ("good", "SUCCESS", later, None, None, 7),
+        (None, "FAILED", at, "E", "b", 1), (None, "INTERRUPTED", at, "E", "a", 1), (None, None, at, "E", "0", 1),
+        ("no time", "FAILED", None, "E", "a", 1),
+    ]
+    found = run_status(run_log(spark, rows), F.lit("2024-01-15").cast("timestamp")).collect()
+    assert len(found) == len({r[0] for r in rows})
+    assert {r.run_id: (r.status, r.error_type, r.error_message, r.rows_received) for r in found} == {
+        "text": ("FAILED", "E", "a" * 5000, None),
+        "null text": ("FAILED", "E", None, None),
+        "null type": ("FAILED", None, "b", None),
+        "same": ("FAILED", "E", "a", None),
+        "good": ("SUCCESS", None, None, 7),
+        None: ("FAILED", "E", "b", None),
+        "no time": ("RUNNING", None, None, None),
+    }
+
+
+def test_run_status_sorts_no_messages_but_of_ties(spark):
+    at = datetime(2024, 1, 1)
+    log = run_log(spark, [(str(i), "FAILED", at + timedelta(hours=i), "E", "x" * 5000, i) for i in range(20)])
+    plan = run_status(log, F.lit("2024-01-15").cast("timestamp"))._jdf.queryExecution().executedPlan().toString()
+    with_texts = [line for line in plan.splitlines() if "Aggregate" in line and "error_message" in line]
+    assert with_texts and all("min(struct(error_message" in line for line in with_texts), with_texts
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+
+
 def test_pages(spark):
     from pitlake.operators import pages
 
