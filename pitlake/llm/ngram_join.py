@@ -9,8 +9,8 @@ A column shared by m documents is not expanded into m * m pairs. Equal sets are
 a column meets its smallest member alone; the links found give components. Rows outside a column's main
 component meet a few more of its members, drawn by hash, so that copies which the smallest member alone
 doesn't reach join as well; and only pairs between components that are still different meet afterwards, those outside the
-main component against all. No link between components is lost, and a large group of copies costs about as
-many pairs as it has members.
+main component against all, and a pair that shares many columns only in its first ones. No link between components
+is lost, and a large group of copies costs about as many pairs as it has members.
 
 Components need some of the links only. All of them lie within components: for these, a component's distinct sets are dealt
 into parts, each two parts meet in a tile, and there the overlaps of all their pairs are added up column by column.
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_values, kept, mapped, mix, raw, slices, text_frame, white_space, words
@@ -38,6 +38,7 @@ BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met
 TILE, TILE_BYTES = 256, 8 << 20  # documents and text in one part of a component
 TILE_COLUMNS = 4096  # columns added up at once
 LEADS = 6  # members of a column's main component that its other rows meet before all of the column; it moves costs, not results
+EARLY = 8  # of a document's columns: pairs that share one of them don't meet in later columns; it moves costs, not results
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 
@@ -380,11 +381,11 @@ def connected(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Da
     met = met.select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
     links = first.unionByName(verified(of_reps(met, rep_of), docs, n, percent))
     # Components only grow, so a column that is of one stays so.
-    split = divided(split.drop("label", "main", "members"), links, rep_of)
+    split = with_early(divided(split.drop("label", "main", "members"), links, rep_of))
     second_pairs = (
         outside(split).join(split, ["column", "band"])
         .where("x_label <> label and (label = main or x_doc_id < doc_id)")
-        .where(enough("x_", "", percent))
+        .where(enough("x_", "", percent)).where("not arrays_overlap(x_early, early)")
         .select(F.col("x_doc_id").alias("a"), F.col("doc_id").alias("b"))
     )
     links = links.unionByName(verified(of_reps(second_pairs, rep_of), docs, n, percent))
@@ -404,11 +405,23 @@ def divided(rows: DataFrame, links: DataFrame, rep_of: DataFrame) -> DataFrame:
     return kept(placed.join(main, "column"))
 
 
+def with_early(split: DataFrame) -> DataFrame:
+    """The rows with those of their document's first EARLY columns that come before their own.
+
+    Two documents of different components that share a column meet in it. If they share an earlier one too, they meet
+    there: its places are as small or smaller, so no less overlap is left.
+    """
+    own = Window.partitionBy("doc_id", "size").orderBy("place", "column")
+    first = F.when(F.row_number().over(own) <= EARLY, F.col("column"))
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    return split.withColumn("first", first).withColumn("early", F.collect_list("first").over(before)).drop("first")
+
+
 def outside(split: DataFrame) -> DataFrame:
     """The rows outside their column's main component, once for each band in which they can have a partner."""
     return split.where("label <> main").select(
         "column", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "size", "place", "label")),
+        *(F.col(c).alias(f"x_{c}") for c in split.columns if c not in ("column", "band", "main", "members")),
     )
 
 

@@ -97,6 +97,27 @@ def test_jaccard_chains_and_neighbours_of_a_common_passage(spark):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_pairs_that_share_many_columns_meet_once_and_none_is_lost(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([f"group{i % 3}_{w}" for w in base[:52]] + [f"own{i}_{j}" for j in range(8)])) for i in range(42)]
+    rows += [(100, rows[5][1] + " tail"), (101, rows[5][1] + " other")]
+    met, of_reps = [], ngram_join.of_reps
+
+    def seen(pairs, rep_of):
+        met.append([(r.a, r.b) for r in pairs.collect()])
+        return of_reps(pairs, rep_of)
+
+    monkeypatch.setattr(ngram_join, "of_reps", seen)
+    found = ngram_join.jaccard_groups(frame(spark, rows))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    monkeypatch.setattr(ngram_join, "EARLY", 0)
+    ngram_join.jaccard_groups(frame(spark, rows))
+    last, every = met[2], met[5]
+    assert {tuple(sorted(x)) for x in last} == {tuple(sorted(x)) for x in every}
+    assert 3 * len(last) < len(every)
+    assert len(last) <= 1.1 * len({tuple(sorted(x)) for x in last})
+
+
 def test_frequent_columns_take_the_split_path(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HEAVY_FROM", 2)
     base = [f"w{i}" for i in range(50)]
