@@ -38,7 +38,7 @@ BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met
 TILE, TILE_BYTES = 256, 8 << 20  # documents and text in one part of a component
 TILE_COLUMNS = 4096  # columns added up at once
 LEADS = 6  # members of a column's main component that its other rows meet before all of the column; it moves costs, not results
-EARLY = 8  # of a document's columns: pairs that share one of them don't meet in later columns; it moves costs, not results
+EARLY = 4  # of a document's columns: pairs that share one of them don't meet in later columns; it moves costs, not results
 BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 
