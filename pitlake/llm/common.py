@@ -15,6 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = 1 << 20  # bytes hashed at once
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffles go when the query that made them ends
 
 
 def table(sf_dir: str, name: str) -> str:
@@ -32,10 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts the lineage, outlives any executor."""
+    """The rows written to the shared folder and read again: cuts the lineage, outlives any executor.
+
+    Nothing reads the shuffles of the write again, so they leave the disks with it, not when the driver next collects garbage.
+    """
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -114,7 +123,7 @@ def prefix_sums(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums s so that (s[j] - s[i]) * down[i] is a hash of data[i:j]."""
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    np.cumsum(values.take(data) * up[: len(data)], dtype=np.uint64, out=sums[1:])
     return sums
 
 
@@ -147,7 +156,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, values:
     for lo, hi in blocks(data, offsets, separator):
         part = data[lo:hi]
         inside = np.zeros(hi - lo + 2, np.bool_)
-        np.logical_not(separator[part], out=inside[1:-1])
+        np.logical_not(separator.take(part), out=inside[1:-1])
         step = inside[1:] != inside[:-1]
         cuts = edge[np.searchsorted(edge, lo, "right") : np.searchsorted(edge, hi, "left")] - lo
         cuts = np.unique(cuts[inside[cuts] & inside[cuts + 1]]) if len(cuts) else cuts

@@ -35,6 +35,7 @@ HEAVY = 1 << 17  # n-grams whose frequency orders columns: those in most documen
 HEAVY_FROM = 16  # documents
 MARK_BITS = 31
 BATCH_BYTES = 8 << 20  # texts in which equal sets and repeated n-grams are met before the shuffle
+HASH_BYTES = 256 << 10  # texts whose words are hashed at once
 TILE, TILE_BYTES = 256, 8 << 20  # documents and text in one part of a component
 TILE_COLUMNS = 4096  # columns added up at once
 LEADS = 6  # members of a column's main component that its other rows meet before all of the column; it moves costs, not results
@@ -44,6 +45,10 @@ BAND = 1.25  # sizes of documents in one block; 100 / PERCENT
 
 def shingle_sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's n-grams; of fewer words, one hash of them all; of none, none."""
+    return [found for part in slices([batch], limit=HASH_BYTES) for found in sets_of(part, n)]
+
+
+def sets_of(batch: pa.RecordBatch, n: int) -> Iterator[np.ndarray]:
     data, offsets = raw(batch.column("text"))
     hashes, owner, _, _ = words(data, offsets, white_space(), byte_values(True))
     first = np.searchsorted(owner, np.arange(batch.num_rows + 1))
@@ -52,18 +57,23 @@ def shingle_sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     for i in range(n):
         rolled = rolled * factor + hashes[i : i + len(rolled)]
     rolled = mix(rolled)
-    sets = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= n:
-            sets.append(np.unique(rolled[a : b - n + 1]))
+            yield distinct(rolled[a : b - n + 1])
         elif b > a:
             value = np.array([b - a], np.uint64)
             for h in hashes[a:b]:
                 value = value * factor + h
-            sets.append(mix(value + np.uint64(n)))
+            yield mix(value + np.uint64(n))
         else:
-            sets.append(rolled[:0])
-    return sets
+            yield rolled[:0].copy()
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """np.unique, which takes several times as long over the few values of one text."""
+    values = np.sort(values)
+    new = values[1:] != values[:-1]
+    return values if new.all() else values[np.concatenate(([True], new))]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -98,7 +108,7 @@ def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def incidence(docs: DataFrame, heavy, n: int, percent: int) -> DataFrame:
-    """Entries of the matrix: column, doc_id, mark (the set's size and the column's place in the order), hot (frequent).
+    """Entries of the matrix: column, doc_id, mark (the set's size and the column's place in the order; -1 - mark if the column is frequent).
 
     Only each document's first columns in the order (frequency, hash), and of equal sets in a batch only one.
     """
@@ -108,7 +118,7 @@ def incidence(docs: DataFrame, heavy, n: int, percent: int) -> DataFrame:
         for batch in slices(batches, limit=BATCH_BYTES):
             sets = shingle_sets(batch, n)
             key1, key2 = set_keys(sets)
-            seen, columns, docs, marks, hots = set(), [], [], [], []
+            seen, columns, docs, marks = set(), [], [], []
             for s, key, doc in zip(sets, zip(key1.tolist(), key2.tolist(), strict=True), batch.column("doc_id").to_numpy(), strict=True):
                 if not len(s) or (len(s), key) in seen:
                     continue
@@ -120,25 +130,35 @@ def incidence(docs: DataFrame, heavy, n: int, percent: int) -> DataFrame:
                 order = np.argsort(weight, kind="stable")[: prefix_length(len(s), percent)]
                 columns.append(s[order])
                 docs.append(np.full(len(order), doc))
-                marks.append((len(s) << MARK_BITS) + np.arange(len(order)))
-                hots.append(weight[order] > 0)
+                mark = (len(s) << MARK_BITS) + np.arange(len(order))
+                marks.append(np.where(weight[order] > 0, -1 - mark, mark))
             if columns:
                 yield pa.record_batch(
-                    [pa.array(np.concatenate(columns).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (docs, marks, hots))],
-                    names=["column", "doc_id", "mark", "hot"],
+                    [pa.array(np.concatenate(columns).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (docs, marks))],
+                    names=["column", "doc_id", "mark"],
                 )
 
-    return mapped(docs, run, "column long, doc_id long, mark long, hot boolean")
+    return mapped(docs, run, "column long, doc_id long, mark long")
 
 
 def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by column, band, row: those of columns with two rows at least, with the first row of their band."""
+    """Entries sorted by column, band, row: those of columns with two rows at least, with the first row of their band.
+
+    Entries of frequent columns (place is -1 - place), of which other tasks have some too, pass with no hub.
+    """
+    names = ["column", "band", "doc_id", "size", "place", "hub", "hub_size", "hub_place"]
     waiting = None  # the first entry of the last column, so far alone
     lead = None  # (column, band, doc, size, place) of the first of the last band
     for batch in batches:
-        if not batch.num_rows:
+        entries = [batch.column(c).to_numpy() for c in names[:5]]
+        hot = entries[4] < 0
+        if hot.any():
+            *frequent, place = (x[hot] for x in entries)
+            yield pa.record_batch([*(pa.array(x) for x in (*frequent, -1 - place)), *(pa.nulls(len(place), pa.int64()) for _ in range(3))], names=names)
+            entries = [x[~hot] for x in entries]
+        column, band, doc, size, place = entries
+        if not len(column):
             continue
-        column, band, doc, size, place = (batch.column(c).to_numpy() for c in ("column", "band", "doc_id", "size", "place"))
         new = np.concatenate(([lead is None or column[0] != lead[0]], column[1:] != column[:-1]))
         follows = np.concatenate((~new[1:], [False]))
         keep = ~new | follows
@@ -161,7 +181,7 @@ def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if begin is not None:
             lead = tuple(int(x[begin]) for x in out)
         if len(rows[0]):
-            yield pa.record_batch([pa.array(r.astype(np.int64)) for r in rows], names=["column", "band", "doc_id", "size", "place", "hub", "hub_size", "hub_place"])
+            yield pa.record_batch([pa.array(r.astype(np.int64)) for r in rows], names=names)
 
 
 ENTRY = "column long, band long, doc_id long, size long, place long, hub long, hub_size long, hub_place long"
@@ -352,15 +372,15 @@ def connected(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Da
     classes = rows.where("size > 0").groupBy("size", "key1", "key2").agg(F.min("doc_id").alias("rep"))
     rep_of = kept(rows.join(classes, ["size", "key1", "key2"]).select("doc_id", "rep").distinct())
     entries = incidence(docs, heavy, n, percent)
-    size, place = F.expr(f"shiftright(mark, {MARK_BITS})"), F.expr(f"mark & {(1 << MARK_BITS) - 1}")
+    mark = "if(mark < 0, -1 - mark, mark)"
+    size = F.expr(f"shiftright({mark}, {MARK_BITS})")
+    place = F.expr(f"{mark} & {(1 << MARK_BITS) - 1}")
     band = F.floor(F.log(size) / math.log(BAND)).cast("long")
-
-    def spread(frame: DataFrame) -> DataFrame:
-        return frame.select("column", band.alias("band"), "doc_id", size.alias("size"), place.alias("place"))
-
-    # Columns in few documents: sorted and read once. Frequent ones: aggregates and a join, which can be split.
-    cold = spread(entries.where("not hot").drop("hot").repartition("column")).sortWithinPartitions("column", "band", "doc_id")
-    hot = kept(spread(entries.where("hot")))
+    # Columns in few documents: sorted and read once. Frequent ones are dealt by row, then aggregates and a join, which can be split.
+    dealt = entries.repartition(F.when(F.col("mark") < 0, F.xxhash64("column", "doc_id")).otherwise(F.col("column")))
+    dealt = dealt.select("column", band.alias("band"), "doc_id", size.alias("size"), F.when(F.col("mark") < 0, -1 - place).otherwise(place).alias("place"))
+    read = kept(mapped(dealt.sortWithinPartitions("column", "band", "doc_id"), shared_entries, ENTRY))
+    hot = read.where("hub is null").select("column", "band", "doc_id", "size", "place")
     hubs = hot.groupBy("column", "band").agg(F.min(F.struct("doc_id", "size", "place")).alias("lead"))
     many = hot.groupBy("column").agg(F.count("*").alias("rows")).where("rows > 1").select("column")
     warm = (
@@ -368,7 +388,7 @@ def connected(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, Da
         .join(many, "column")
         .select(*hot.columns, F.col("lead.doc_id").alias("hub"), F.col("lead.size").alias("hub_size"), F.col("lead.place").alias("hub_place"))
     )
-    shared = kept(mapped(cold, shared_entries, ENTRY).unionByName(warm))
+    shared = read.where("hub is not null").unionByName(kept(warm))
     star = shared.where("hub <> doc_id").where(enough("", "hub_", percent)).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     first = verified(of_reps(star, rep_of), docs, n, percent)
     split = divided(shared.select("column", "band", "doc_id", "size", "place"), first, rep_of)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import heapq
 import re
+import time
 import zlib
 
 import numpy as np
@@ -11,8 +12,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pitlake.llm import byte_bpe, content_sort, kneser_ney, ngram_join, perspectives, quality, sharding, suffix_dedup, suffix_search
+from pitlake.llm.common import FREED, kept
 from pitlake.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, digest string, label int"
@@ -126,6 +129,46 @@ def test_frequent_columns_take_the_split_path(spark, monkeypatch):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_texts_become_entries_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HEAVY_FROM", 2)
+    read, incidence = spark.sparkContext.accumulator(0), ngram_join.incidence
+
+    def counted(docs, *more):
+        def count(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        return incidence(docs.mapInArrow(count, docs.schema), *more)
+
+    monkeypatch.setattr(ngram_join, "incidence", counted)
+    rows = [(i, f"a b c d e f g h i j k l m n o p q r s t u v w x{i}") for i in range(6)] + [(9, "some other words"), (10, None)]
+    found = ngram_join.jaccard_groups(frame(spark, rows))
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    assert read.value == len(rows)
+
+
+def test_hashed_sets_are_distinct_and_sorted():
+    for values in ([], [7], [3, 3], [5, 1, 5, 2, 1], [2, 1]):
+        assert ngram_join.distinct(np.array(values, np.uint64)).tolist() == sorted(set(values))
+
+
+def test_shuffles_of_kept_rows_leave_the_disk(spark):
+    disk, before = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), spark.conf.get(FREED)
+
+    def shuffles():
+        return {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+    there = shuffles()
+    found = kept(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.monotonic() + 20
+    while shuffles() - there and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffles() - there
+    assert spark.conf.get(FREED) == before
+    assert found.count() == 7
+
+
 @pytest.mark.parametrize("tile", [256, 3])
 def test_all_links_between_distinct_sets(spark, monkeypatch, tile):
     """Also those between texts that one component holds already: A-B, A-C and B-C."""
